@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
-from . import ngram_lm
+from . import chunked_bpe, host_quality, ngram_lm, oracle_quality, wu_manber
 from .common import read
 
-ORACLES: dict[str, str] = {}
-
 
 def op1_lm_scoring(spark, sf_dir):
     return ngram_lm.score_held_out(read(spark, sf_dir, "documents"), order=2)
 
 
-QUERIES = {"op1_lm_scoring": op1_lm_scoring}
+def op2_quality_rules(spark, sf_dir):
+    return host_quality.judge(read(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op7_decontamination(spark, sf_dir):
+    return wu_manber.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), width=10)
+
+
+def op8_bpe(spark, sf_dir):
+    return chunked_bpe.digests(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op2_quality_rules": op2_quality_rules,
+    "op7_decontamination": op7_decontamination,
+    "op8_bpe": op8_bpe,
+}
+
+ORACLES: dict[str, str] = {"op2_quality_rules": oracle_quality.SQL}
