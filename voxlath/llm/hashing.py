@@ -59,12 +59,12 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, counts): byte spans of all words, and the number of words of each text."""
     if not len(data):
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, np.zeros(len(offsets) - 1, dtype=np.int64)
-    word = ~SPACE[data]
+    word = ~separator[data]
     start = word.copy()
     start[1:] &= ~word[:-1]
     end = word.copy()
@@ -78,7 +78,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the lower-cased words."""
-    out = np.empty(len(starts), dtype=np.uint64)
+    return part_hashes(data, starts, ends, [(starts, ends)])[0]
+
+
+def part_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """64-bit hashes of parts of the words, given as (starts, ends) within the words' own."""
+    out = [np.empty(len(starts), dtype=np.uint64) for _ in parts]
     i = 0
     while i < len(starts):
         base = starts[i]
@@ -87,8 +92,9 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         power, unpower = (_POWER, _UNPOWER) if n <= PIECE else (_powers(_STEP, n + 1), _powers(_STEP_INVERSE, n + 1))
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_CODE[data[base : base + n]] * power[:n], out=total[1:])
-        s, e = starts[i:j] - base, ends[i:j] - base
-        out[i:j] = mix((total[e] - total[s]) * unpower[s] + (e - s).astype(np.uint64) * _GOLDEN)
+        for o, (first, last) in zip(out, parts):
+            s, e = first[i:j] - base, last[i:j] - base
+            o[i:j] = mix((total[e] - total[s]) * unpower[s] + (e - s).astype(np.uint64) * _GOLDEN)
         i = j
     return out
 
