@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunked_bpe, host_quality, ngram_lm, oracle_quality, wu_manber
+from . import chunked_bpe, host_quality, line_dedup, ngram_lm, oracle_quality, toxic_crf, wu_manber
 from .common import read
 
 
@@ -14,6 +14,14 @@ def op2_quality_rules(spark, sf_dir):
     return host_quality.judge(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxic_crf.score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_line_dedup(spark, sf_dir):
+    return line_dedup.digests(read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark, sf_dir):
     return wu_manber.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), width=10)
 
@@ -25,6 +33,8 @@ def op8_bpe(spark, sf_dir):
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
+    "op4_line_dedup": op4_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
 }
