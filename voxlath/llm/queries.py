@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunked_bpe, host_quality, line_dedup, ngram_lm, oracle_quality, toxic_crf, wu_manber
+from . import chunked_bpe, host_quality, jaccard_join, line_dedup, ngram_lm, oracle_quality, toxic_crf, wu_manber
 from .common import read
 
 
@@ -22,6 +22,10 @@ def op4_line_dedup(spark, sf_dir):
     return line_dedup.digests(read(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(read(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op7_decontamination(spark, sf_dir):
     return wu_manber.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), width=10)
 
@@ -35,6 +39,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
 }
