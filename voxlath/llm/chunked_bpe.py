@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ SPECIAL_ID = 50256
 #: Bytes that the rolling hash covers, and the share of eligible places (a space after a word) that are cuts: 1 / (CUT_MASK + 1).
 WINDOW, CUT_MASK = 16, 63
 #: Bytes of chunks whose ids a worker keeps.
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 16 << 20
 _PIECE = 1 << 18
 _CODE = mix(np.arange(1000, 1256, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C55
@@ -71,7 +72,7 @@ class Codec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._core = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})
         self._whole_path = whole
-        self._chunks: dict[bytes, list[int]] = {}
+        self._chunks: dict[bytes, array] = {}
         self._held = 0
         self._joins: dict[tuple[int, int], bool] = {}
 
@@ -90,16 +91,17 @@ class Codec:
             return self._whole.encode(text, add_special_tokens=False).ids
 
     def _chunk(self, chunk: bytes) -> list[int]:
-        ids = self._chunks.get(chunk)
-        if ids is None:
-            ids = self._encode(chunk.decode("utf-8", "replace"))
-            if len(chunk) * 8 <= CACHE_BYTES:
-                self._held += len(chunk)
-                if self._held > CACHE_BYTES:  # keep the newer half
-                    for old in list(self._chunks)[: len(self._chunks) // 2]:
-                        del self._chunks[old]
-                    self._held = sum(map(len, self._chunks)) + len(chunk)
-                self._chunks[chunk] = ids
+        held = self._chunks.get(chunk)
+        if held is not None:
+            return held.tolist()
+        ids = self._encode(chunk.decode("utf-8", "replace"))
+        if len(chunk) * 8 <= CACHE_BYTES:
+            self._held += len(chunk)
+            if self._held > CACHE_BYTES:  # keep the newer half
+                for old in list(self._chunks)[: len(self._chunks) // 2]:
+                    del self._chunks[old]
+                self._held = sum(map(len, self._chunks)) + len(chunk)
+            self._chunks[chunk] = array("I", ids)
         return ids
 
     def _join(self, left: list[int], right: list[int]) -> list[int]:
@@ -109,7 +111,7 @@ class Codec:
         pair = (left[-1], right[0])
         good = self._joins.get(pair)
         if good is None:
-            if len(self._joins) > 1 << 18:
+            if len(self._joins) > 1 << 16:
                 self._joins.clear()
             good = self._joins[pair] = self._agrees(pair)
         if good:
@@ -143,7 +145,7 @@ class Codec:
         ids: list[int] = []
         for a, b in zip(edges, edges[1:]):
             if b > a:
-                ids = self._join(ids, list(self._chunk(data[a:b])) if not ids else self._chunk(data[a:b]))
+                ids = self._join(ids, self._chunk(data[a:b]))
         return ids
 
     def decode(self, ids: list[int]) -> str:
