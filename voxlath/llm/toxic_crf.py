@@ -51,10 +51,17 @@ class Tagger:
     constant: float | None = None
 
 
-def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """64-bit features of every word: itself, its beginnings, its end."""
-    spans = [(starts, ends), *((starts, np.minimum(starts + k, ends)) for k in BEGINNINGS), (np.maximum(starts, ends - 3), ends)]
-    return [h ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64)) for i, h in enumerate(part_hashes(data, starts, ends, spans))]
+def _spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(starts, ends), *((starts, np.minimum(starts + k, ends)) for k in BEGINNINGS), (np.maximum(starts, ends - 3), ends)]
+
+
+def feature(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int) -> np.ndarray:
+    """64-bit feature of one kind of every word: itself, a beginning, its end."""
+    return part_hashes(data, starts, ends, [_spans(starts, ends)[kind]])[0] ^ np.uint64(0x9E3779B97F4A7C15 * (kind + 1) % (1 << 64))
+
+
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def _products(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -129,8 +136,8 @@ def _edges(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, last
 
 
-def _scores(tagger: Tagger, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return sum(tagger.emission[(f >> np.uint64(64 - BITS)).astype(np.int64)] for f in features(data, starts, ends)) + np.zeros(len(starts))
+def _scores(weights: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return sum((weights[_cells(feature(data, starts, ends, kind))] for kind in range(_KINDS)), np.zeros(len(starts)))
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -155,22 +162,36 @@ def _slices(column: pa.Array):
         yield i, j, part, *word_spans(part, offsets[i : j + 1] - offsets[i], _SEPARATOR), offsets[i:j] - offsets[i]
 
 
-def _cover(found: list[np.ndarray], doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Features that explain toxic documents: each adds documents that no feature before explains."""
-    n_docs = len(toxic)
-    keys = np.concatenate([np.unique(f) for f in found])
-    keys = np.unique(keys)
-    pairs = np.unique(np.concatenate([np.searchsorted(keys, f).astype(np.int64) * n_docs + doc for f in found]))
-    key, where = pairs // n_docs, pairs % n_docs
-    clean = np.bincount(key[~toxic[where]], minlength=len(keys))
-    dirty = np.bincount(key[toxic[where]], minlength=len(keys))
-    share = toxic.mean()
-    needed = (np.log(len(keys)) + 2) / -np.log(share)  # so often in toxic documents alone by chance: hardly any feature
+def _counted(column: pa.Array, toxic: np.ndarray, kind: int) -> tuple[np.ndarray, ...]:
+    """(feature, document) of one kind for features that mark toxic documents, with these features' counts in clean ones, and what counts as often."""
+    found, docs = [], []
+    for i, _, data, starts, ends, counts, _ in _slices(column):
+        f, doc = feature(data, starts, ends, kind), i + np.repeat(np.arange(len(counts)), counts)
+        order = np.lexsort((doc, f))
+        f, doc = f[order], doc[order]
+        new = np.concatenate([[True], (np.diff(f) != 0) | (np.diff(doc) != 0)]) if len(f) else np.zeros(0, dtype=bool)
+        found.append(f[new]), docs.append(doc[new].astype(np.int32))
+    f, doc = np.concatenate(found), np.concatenate(docs)
+    order = np.argsort(f, kind="stable")
+    f, doc = f[order], doc[order]
+    new = np.concatenate([[True], np.diff(f) != 0])
+    group = np.cumsum(new) - 1
+    dirty = np.bincount(group[toxic[doc]], minlength=group[-1] + 1)
+    clean = np.bincount(group[~toxic[doc]], minlength=group[-1] + 1)
+    needed = (np.log(_KINDS * len(dirty)) + 2) / -np.log(toxic.mean())  # hardly any feature is so often in toxic documents alone by chance
     good = (dirty >= needed) & (clean <= 0.02 * dirty)
-    use = good[key] & toxic[where]
-    key, where = key[use], where[use]
+    use = good[group] & toxic[doc]
+    return f[use], doc[use], clean[group[use]], needed
+
+
+def _cover(column: pa.Array, toxic: np.ndarray) -> np.ndarray:
+    """Features that explain toxic documents: each adds documents that no feature before explains."""
+    parts = [_counted(column, toxic, kind) for kind in range(_KINDS)]
+    least = max(2.0, 0.5 * max(p[3] for p in parts))
+    keys, key = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    where, clean = np.concatenate([p[1] for p in parts]), np.zeros(len(keys))
+    clean[key] = np.concatenate([p[2] for p in parts])
     picked, open_ = [], toxic.copy()
-    least = max(2.0, 0.5 * needed)
     while len(key):
         gain = np.bincount(key, minlength=len(keys))
         gain = gain - 5.0 * clean * (gain > 0)
@@ -184,33 +205,41 @@ def _cover(found: list[np.ndarray], doc: np.ndarray, toxic: np.ndarray) -> np.nd
     return np.array(picked, dtype=np.uint64)
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 80, reach: int = 12) -> Tagger:
-    """Learn from whole labelled texts; the field from the words around labelled tokens and as many others."""
+def _windows(column: pa.Array, toxic: np.ndarray, seeds: np.ndarray, reach: int, words: int):
+    """Features' cells, labels and first marks of the words to learn from: those near labelled ones, and windows all over the texts."""
+    total, labels = 0, []
+    for i, _, data, starts, ends, counts, _ in _slices(column):
+        label = np.zeros(len(starts), dtype=bool)
+        for kind in range(_KINDS):
+            label |= np.isin(feature(data, starts, ends, kind), seeds)
+        labels.append(label & toxic[i + np.repeat(np.arange(len(counts)), counts)])
+        total += len(label)
+    stride = max(1, total // max(words, 25 * sum(int(x.sum()) for x in labels)))
+    cells, y, first = [[] for _ in range(_KINDS)], [], []
+    for (i, _, data, starts, ends, counts, _), label in zip(_slices(column), labels):
+        if not len(starts):
+            continue
+        near, at = np.zeros(len(starts) + 1), np.flatnonzero(label)
+        np.add.at(near, np.maximum(at - reach, 0), 1)
+        np.add.at(near, np.minimum(at + reach + 1, len(starts)), -1)
+        keep = np.flatnonzero((np.cumsum(near[:-1]) > 0) | ((np.arange(len(starts)) // 50) % stride == 0))
+        doc = np.repeat(np.arange(len(counts)), counts)[keep]
+        first.append(np.concatenate([[True], (np.diff(keep) > 1) | (np.diff(doc) > 0)]))
+        y.append(label[keep])
+        for kind in range(_KINDS):
+            cells[kind].append(_cells(feature(data, starts[keep], ends[keep], kind)))
+    return [np.concatenate(c) for c in cells], np.concatenate(y).astype(float), np.concatenate(first)
+
+
+def fit(texts: list[str], toxic: np.ndarray, rounds: int = 80, reach: int = 12, words: int = 50_000) -> Tagger:
+    """Learn from whole labelled texts; the field from the words around labelled tokens and windows all over."""
     if not len(texts) or toxic.all() or not toxic.any():
         return Tagger(np.zeros(1), np.zeros((2, 2)), np.zeros(2), (0.0, 0.0, 0.0), float(toxic.mean()) if len(texts) else 0.0)
-    data, offsets = string_buffers(pa.array(texts, pa.large_string()))
-    starts, ends, counts = word_spans(data, offsets, _SEPARATOR)
-    found = features(data, starts, ends)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    seeds = _cover(found, doc, toxic)
-    label = np.zeros(len(starts), dtype=bool)
-    for f in found:
-        label |= np.isin(f, seeds)
-    label &= toxic[doc]
-    # Windows around labelled words, and windows all over the texts: clean words, and the seeds' look-alikes.
-    near = np.zeros(len(starts) + 1)
-    at = np.flatnonzero(label)
-    np.add.at(near, np.maximum(at - reach, 0), 1)
-    np.add.at(near, np.minimum(at + reach + 1, len(starts)), -1)
-    keep = np.cumsum(near[:-1]) > 0
-    wanted = max(50_000, int(keep.sum()))
-    stride = max(1, len(starts) // wanted)
-    keep |= (np.arange(len(starts)) // 50) % stride == 0
-    idx = np.flatnonzero(keep)
-    gap = np.concatenate([[True], (np.diff(idx) > 1) | (np.diff(doc[idx]) > 0)])
-    first, last = gap, np.concatenate([gap[1:], [True]])
-    cells = [(f[idx] >> np.uint64(64 - BITS)).astype(np.int64) for f in found]
-    y = label[idx].astype(float)
+    column = pa.array(texts, pa.large_string())
+    if not any(len(starts) for _, _, _, starts, _, _, _ in _slices(column)):
+        return Tagger(np.zeros(1), np.zeros((2, 2)), np.zeros(2), (0.0, 0.0, 0.0), float(toxic.mean()))
+    cells, y, first = _windows(column, toxic, _cover(column, toxic), reach, words)
+    last = np.concatenate([first[1:], [True]])
     weights, transition, start = np.zeros(1 << BITS), np.zeros((2, 2)), np.zeros(2)
     g_w, g_t, g_s = np.full(1 << BITS, 1e-6), np.full((2, 2), 1e-6), np.full(2, 1e-6)
     pair_y = np.zeros((2, 2))
@@ -220,18 +249,21 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 80, reach: int = 12)
     for _ in range(rounds):
         p, pair = marginals(sum(weights[c] for c in cells), first, last, transition, start)
         d = p - y
-        grad = np.zeros(1 << BITS)
+        grad = 0.05 * weights
         for c in cells:
             grad += np.bincount(c, d, minlength=1 << BITS)
-        grad += 0.05 * weights
         d_t = pair.sum(axis=2) - pair_y + 0.05 * transition
         d_s = np.array([(1 - p[first]).sum(), p[first].sum()]) - start_y + 0.05 * start
         for x, g, d_x in ((weights, g_w, grad), (transition, g_t, d_t), (start, g_s, d_s)):
             g += d_x * d_x
             x -= 0.3 * d_x / np.sqrt(g)
-    tagger = Tagger(weights.astype(np.float32), transition, start, (0.0, 0.0, 0.0))
-    p, _ = marginals(sum(weights[(f >> np.uint64(64 - BITS)).astype(np.int64)] for f in found), *_edges(counts), transition, start)
-    return Tagger(tagger.emission, transition, start, _calibrate(*_text_features(p, counts), toxic))
+    weights = weights.astype(np.float32)
+    figures = []
+    for _, _, data, starts, ends, counts, _ in _slices(column):
+        p, _ = marginals(_scores(weights, data, starts, ends), *_edges(counts), transition, start)
+        figures.append(_text_features(p, counts))
+    most, expected = (np.concatenate(x) for x in zip(*figures))
+    return Tagger(weights, transition, start, _calibrate(most, expected, toxic))
 
 
 def _calibrate(a: np.ndarray, b: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
@@ -246,7 +278,7 @@ def _calibrate(a: np.ndarray, b: np.ndarray, toxic: np.ndarray) -> tuple[float,
     return tuple(float(v) for v in w)
 
 
-def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic", max_toxic: int = 3000, max_clean: int = 9000) -> Tagger:
+def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic", max_toxic: int = 1500, max_clean: int = 4500) -> Tagger:
     """Learn from at most max_toxic and max_clean labelled rows, whole texts."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
     rows = docs.select(F.col(id_col).alias("__key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).join(known, F.col("__key") == F.col("__id"))
@@ -266,7 +298,7 @@ def _tagged(tagger: Tagger, column: pa.Array, spans: bool):
     if tagger.constant is None:
         a, b, c = tagger.calibration
         for i, j, part, starts, ends, counts, base in _slices(column):
-            p, _ = marginals(_scores(tagger, part, starts, ends), *_edges(counts), tagger.transition, tagger.start)
+            p, _ = marginals(_scores(tagger.emission, part, starts, ends), *_edges(counts), tagger.transition, tagger.start)
             most, expected = _text_features(p, counts)
             score[i:j] = 1 / (1 + np.exp(-np.clip(a * most + b * expected + c, -30, 30)))
             for w in np.flatnonzero(p >= SPAN_AT) if spans else ():
