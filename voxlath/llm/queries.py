@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunked_bpe, host_quality, jaccard_join, line_dedup, ngram_lm, oracle_quality, sequence_packing, shard_store, token_rollup, toxic_crf, wu_manber
+from . import chunked_bpe, host_quality, jaccard_join, line_dedup, ngram_lm, oracle_quality, oracle_text, sequence_packing, shard_store, token_rollup, toxic_crf, wu_manber
 from .common import read
 
 
@@ -61,7 +61,10 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": oracle_quality.SQL,
+    "op4_line_dedup": oracle_text.LINES,
+    "op5_jaccard_join": oracle_text.CLASSES,
     "op6_token_counts": token_rollup.SQL,
+    "op7_decontamination": oracle_text.WINDOWS,
     "op9_sharding": shard_store.SQL,
     "op10_packing": sequence_packing.SQL,
 }
