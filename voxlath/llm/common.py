@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +64,34 @@ def local_path(uri: str) -> str | None:
     if uri.startswith("file:"):
         return "/" + uri[5:].lstrip("/")
     return uri if "://" not in uri and os.path.isabs(uri) else None
+
+
+#: Rows of an Arrow batch; texts can be long, so batches must be short.
+BATCH_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows from now on in this session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def tidy(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """f over a task's batches; what it held goes back to the system at the end, as workers outlive tasks."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

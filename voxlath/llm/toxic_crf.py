@@ -157,7 +157,7 @@ def _text_features(p: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _slices(column: pa.Array):
     data, offsets = string_buffers(column)
-    for i, j in text_slices(offsets, 1 << 21):
+    for i, j in text_slices(offsets, 1 << 20):
         part = data[offsets[i] : offsets[j]]
         yield i, j, part, *word_spans(part, offsets[i : j + 1] - offsets[i], _SEPARATOR), offsets[i:j] - offsets[i]
 
@@ -278,15 +278,18 @@ def _calibrate(a: np.ndarray, b: np.ndarray, toxic: np.ndarray) -> tuple[float,
     return tuple(float(v) for v in w)
 
 
-def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic", max_toxic: int = 1500, max_clean: int = 4500) -> Tagger:
+def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic", max_toxic: int = 1000, max_clean: int = 2500) -> Tagger:
     """Learn from at most max_toxic and max_clean labelled rows, whole texts."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
-    rows = docs.select(F.col(id_col).alias("__key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).join(known, F.col("__key") == F.col("__id"))
+    there = docs.select(F.col(id_col).alias("__id")).join(known, "__id")  # ids alone, so no text is shuffled
+    body = docs.select(F.col(id_col).alias("__key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     texts: list[str] = []
     toxic: list[bool] = []
     for y, most in ((1, max_toxic), (0, max_clean)):
-        part = rows.where((F.col("__y") > 0) == F.lit(y == 1)).select("__text", F.xxhash64("__key").alias("__h"), "__key").orderBy("__h", "__key", "__text").limit(most)
-        own = [r["__text"] for r in part.toLocalIterator()]
+        part = there.where((F.col("__y") > 0) == F.lit(y == 1)).select("__id", F.xxhash64("__id").alias("__h")).distinct().orderBy("__h", "__id").limit(most)
+        chosen = [r["__id"] for r in part.collect()]  # at most `most` ids
+        rows = body.join(F.broadcast(docs.sparkSession.createDataFrame([(c,) for c in chosen], docs.select(F.col(id_col).alias("__id")).schema)), F.col("__key") == F.col("__id"), "left_semi")
+        own = [r["__text"] for r in rows.orderBy(F.xxhash64("__key"), "__key", "__text").limit(most).toLocalIterator()]
         texts += own
         toxic += [y == 1] * len(own)
     return fit(texts, np.array(toxic, dtype=bool))
@@ -325,8 +328,9 @@ def tag(docs: DataFrame, tagger: Tagger, keep: list[str], text_col: str = "text"
             extra = [pa.array(score)] + ([pa.array(found, span)] if spans else [])
             yield pa.record_batch([*(batch.column(c) for c in range(1, batch.num_columns)), *extra], names=[*batch.schema.names[1:], "score", *["spans"] * spans])
 
+    common.short_batches(docs.sparkSession)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema.fields[1:]), more])
-    return held.mapInArrow(run, schema)
+    return held.mapInArrow(common.tidy(run), schema)
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
