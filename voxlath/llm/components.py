@@ -21,19 +21,28 @@ def _star(links: DataFrame) -> DataFrame:
     return links.join(least, "u")
 
 
+def _state(links: DataFrame) -> tuple:
+    """Number of links and two sums over them, to tell whether a round changed any."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): every node of links (u, v) with the least node that it reaches.  Rows with nulls or loops count as no link."""
     links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u is not null and v is not null and u <> v").distinct()
-    links, before = materialize(links, "links"), None
-    for _ in range(MAX_ROUNDS):
+    links = materialize(links, "links")
+    before = _state(links)
+    for _ in range(MAX_ROUNDS if before[0] else 0):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).select(F.col("v").alias("u"), F.least("m", "u").alias("v"), F.col("u").alias("own")).where("u > own").select("u", "v").where("u > v").distinct()
         small = _star(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u > v").distinct()
         links = materialize(small, "links")
-        now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))).first())
+        now = _state(links)
         if now == before:
-            nodes = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
-            return nodes.unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+            break
         before = now
-    raise RuntimeError("components did not settle")
+    else:
+        if before[0]:
+            raise RuntimeError("components did not settle")
+    nodes = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    return nodes.unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -2,8 +2,9 @@
 
 Documents with equal sets are summed to one set first.  Sets that may link share a signature: a
 set is dealt by hash into more segments than its link can have differences, so that one segment
-agrees whole; segments' hashes are the keys on which sets meet.  Keys only join sets into
-candidate groups, as stars around the least set of each key, never as pairs.
+agrees whole; segments' hashes are the keys on which sets meet.  Keys that come twice are found
+from the keys alone, and only these are passed on with their sets; they join sets into candidate
+groups, as stars around the least set of each key, never as pairs.
 
 Inside a group the links are found by T-occurrence search over an inverted index: a set must
 share T shingles with its partner, so the T-1 longest of its lists are set aside, the short
@@ -29,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bit_set, members
-from .common import materialize
+from .common import give_back, materialize, short_batches, tidy
 from .components import components
 from .hashing import chain, mix, string_buffers, text_slices, word_hashes, word_spans
 
 #: Sets, and shingles, of a group that one task searches at once.
 BLOCK_SETS, BLOCK_SHINGLES = 1500, 1_500_000
+#: Keys that a task holds before it passes them on.
+KEYS_HELD = 500_000
 #: Parts in which the documents of one set are joined with its class.
 SALTS = 16
 #: Ratio of the sizes at which segments' numbers change.
@@ -45,7 +48,7 @@ _OTHER = np.uint64(0x2545F4914F6CDD1D)
 def shingle_sets(column: pa.Array, width: int):
     """(text's place, sorted distinct shingle hashes) of every text of a column."""
     data, offsets = string_buffers(column)
-    for i, j in text_slices(offsets, 1 << 21):
+    for i, j in text_slices(offsets, 1 << 20):
         part = data[offsets[i] : offsets[j]]
         starts, ends, counts = word_spans(part, offsets[i : j + 1] - offsets[i])
         words = word_hashes(part, starts, ends)
@@ -120,21 +123,69 @@ def _set_id(own: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix(np.add.reduce(mix(own ^ tag), keepdims=True) + np.uint64(len(own)))[0].view(np.int64)) for tag in (np.uint64(0), _OTHER))
 
 
-def _measure(width: int, percent: int):
+def _measure(width: int):
     def measure(batches):
-        segments = Segments(percent)
         for batch in batches:
-            n, lo, hi, keys, edges = [], [], [], [], [0]
-            for _, own in shingle_sets(batch.column(0), width):
-                a, b = _set_id(own)
-                found = segments.keys(own)
-                n.append(len(own)), lo.append(a), hi.append(b), keys.append(found), edges.append(edges[-1] + len(found))
-            values = pa.array(np.concatenate(keys).view(np.int64)) if keys else pa.array([], pa.int64())
-            yield pa.record_batch([batch.column(1), pa.array(n, pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)], names=["id", "n", "lo", "hi", "keys"])
+            rows = [(len(own), *_set_id(own)) for _, own in shingle_sets(batch.column(0), width)]
+            yield pa.record_batch([batch.column(1), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3))], names=["id", "n", "lo", "hi"])
 
     return measure
 
 
+def _keys(batches, width: int, percent: int, bits: np.ndarray | None):
+    """Distinct (key, set) pairs as two arrays, a bounded number at a time; only keys that bits may hold."""
+    segments, keys, sets, held = Segments(percent), [], [], 0
+
+    def pairs():
+        key, own = np.concatenate(keys), np.concatenate(sets)
+        order = np.lexsort((own, key))
+        key, own = key[order], own[order]
+        new = np.concatenate([[True], (np.diff(key) != 0) | (np.diff(own) != 0)])
+        return key[new], own[new]
+
+    for batch in batches:
+        for _, own in shingle_sets(batch.column(0), width):
+            found = segments.keys(own)
+            if bits is not None:
+                found = found[members(bits, found)]
+            if len(found):
+                keys.append(found), sets.append(np.full(len(found), _set_id(own)[0], dtype=np.int64))
+                held += len(found)
+            if held >= KEYS_HELD:
+                yield pairs()
+                keys, sets, held = [], [], 0
+    if held:
+        yield pairs()
+
+
+def _key_blocks(width: int, percent: int, buckets: int):
+    """Keys alone, one for each set of a task that has them, as blocks by bucket."""
+
+    def emit(batches):
+        for key, _ in _keys(batches, width, percent, None):
+            where = (key >> np.uint64(20)) % np.uint64(buckets)
+            order = np.argsort(where, kind="stable")
+            edges = np.searchsorted(where[order], np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(edges))
+            yield pa.record_batch([pa.array(full.astype(np.int32)), pa.array([key[order[edges[b] : edges[b + 1]]].tobytes() for b in full], pa.binary())], names=["bucket", "data"])
+
+    return emit
+
+
+def _repeated(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """A bucket's keys that come more than once."""
+    keys = np.sort(np.concatenate([np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("data")]))
+    return pa.table({"key": pa.array(np.unique(keys[1:][keys[1:] == keys[:-1]]).view(np.int64))})
+
+
+def _keyed(bits, width: int, percent: int):
+    def emit(batches):
+        for key, own in _keys(batches, width, percent, bits.value):
+            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(own)], names=["key", "lo"])
+
+    return emit
+
+
 def _fetch(bits, width: int):
     """Sets that may be candidates, from the one row that stands for each set."""
 
@@ -271,6 +322,7 @@ def _search_blocks(percent: int):
             n = sum(1 for _ in same)
             out.append(_links(ids[at : at + n], link_block([np.frombuffer(blobs[i].as_py(), dtype=np.uint64) for i in range(at, at + n)], percent)))
             at += n
+        give_back()
         return pa.concat_tables(out)
 
     return search
@@ -297,7 +349,12 @@ def _search_rest(percent: int):
 def _set_links(sets: DataFrame, own: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) between sets, enough to make all classes."""
     spark = sets.sparkSession
-    keyed = sets.select(F.explode("keys").alias("key"), "lo")
+    buckets = max(8, 2 * own.rdd.getNumPartitions())
+    # Most keys come once: a first pass finds the others from the keys alone, a second passes on who has them.
+    blocks = own.select("__text").mapInArrow(tidy(_key_blocks(width, percent, buckets)), "bucket int, data binary")
+    again = materialize(blocks.groupBy("bucket").applyInArrow(_repeated, "key long"), "repeated-keys")
+    repeated = spark.sparkContext.broadcast(bit_set(again, "key"))
+    keyed = materialize(own.select("__text").mapInArrow(tidy(_keyed(repeated, width, percent)), "key long, lo long"), "keys")
     shared = keyed.groupBy("key").agg(F.min("lo").alias("hub"), F.max("lo").alias("most")).where("hub <> most").select("key", "hub")
     stars = keyed.join(shared, "key").where("lo <> hub").select(F.col("lo").alias("u"), F.col("hub").alias("v"))
     groups = components(stars)
@@ -305,11 +362,10 @@ def _set_links(sets: DataFrame, own: DataFrame, width: int, percent: int) -> Dat
     totals = sizes.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
     wanted = sizes.join(totals, "component").select(F.col("id").alias("lo"), "hi", "mark", F.col("component").alias("block"), "parts")
     bits = spark.sparkContext.broadcast(bit_set(sizes.select(F.col("id").bitwiseXOR(F.col("mark")).alias("h")), "h"))
-    found = own.select("__text", "mark").mapInArrow(_fetch(bits, width), "slo long, shi long, smark long, shingles binary")
+    found = own.select("__text", "mark").mapInArrow(tidy(_fetch(bits, width)), "slo long, shi long, smark long, shingles binary")
     full = wanted.join(found, (F.col("lo") == F.col("slo")) & (F.col("hi") == F.col("shi")) & (F.col("mark") == F.col("smark"))).select("block", "parts", "lo", "shingles").dropDuplicates(["lo"])
     full = materialize(full, "candidate-shingles")
 
-    buckets = max(8, 2 * own.rdd.getNumPartitions())
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("lo"), F.col("parts"))).otherwise(0).cast("int")
     dealt = full.withColumn("part", part)
     first = full.where("parts > 1 and lo = block")  # the least set of a large group goes to all its blocks
@@ -337,10 +393,11 @@ def _set_links(sets: DataFrame, own: DataFrame, width: int, percent: int) -> Dat
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
     """(id, n_shingles, component): every document with the least id that it reaches by links."""
     own = docs.select(F.col(text_col).cast("string").alias("__text"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("mark"))
+    short_batches(docs.sparkSession)
     kind = own.schema["id"].dataType.simpleString()
-    measured = materialize(own.select("__text", "id").mapInArrow(_measure(width, percent), f"id {kind}, n long, lo long, hi long, keys array<long>"), "shingle-counts")
+    measured = materialize(own.select("__text", "id").mapInArrow(tidy(_measure(width)), f"id {kind}, n long, lo long, hi long"), "shingle-counts")
     sets = materialize(
-        measured.where("n > 0").groupBy("lo", "hi").agg(F.min("id").alias("first"), F.min(F.xxhash64("id")).alias("mark"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys")), "shingle-sets"
+        measured.where("n > 0").groupBy("lo", "hi").agg(F.min("id").alias("first"), F.min(F.xxhash64("id")).alias("mark"), F.count("*").alias("copies"), F.any_value("n").alias("n")), "shingle-sets"
     )
     linked = components(_set_links(sets, own, width, percent))
     named = sets.select("lo", "hi", "first", "copies").join(linked.select(F.col("id").alias("lo"), "component"), "lo", "left")
