@@ -13,25 +13,42 @@ from voxlath.llm import chunked_bpe, jaccard_join, line_dedup, toxic_crf, wu_man
 from voxlath.llm.common import materialize, read
 
 
+def _row(docs: DataFrame, *more: str) -> DataFrame:
+    """A document's columns as one struct, so that no name of theirs can clash, beside the columns that a stage reads."""
+    return docs.select(F.struct(*docs.columns).alias("__row"), *more)
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col("__row").getField(c).alias(c) for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score under 0.5; the tagger learns from all labelled documents."""
+    """Documents with a toxicity score under 0.5; the tagger learns from all labelled documents.  Null and empty texts stay."""
     tagger = toxic_crf.train(docs, read(spark, sf_dir, "labels"))
-    return toxic_crf.tag(docs.select("*", F.col("text").alias("__own")), tagger, docs.columns, text_col="__own", spans=False).where("score < 0.5").drop("score")
+    return toxic_crf.tag(_row(docs, "text"), tagger, ["__row"], spans=False).where("score < 0.5").select(*_columns(docs))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that are equal or near to earlier ones; one that loses all its text goes."""
-    out = line_dedup.dedup(docs, docs.columns)
-    emptied = (F.col("n_removed") > 0) & ~F.coalesce(F.col("kept_text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return out.where(~emptied).select(*[F.col("kept_text").alias(c) if c == "text" else n_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    """Documents without lines that are equal or near to earlier ones; one that loses all its text goes.
+
+    n_chars follows a changed text.  Null texts and texts that had no words stay as they are.
+    """
+    out = line_dedup.dedup(_row(docs, "doc_id", "text"), ["__row"])
+    changed = F.col("n_removed") > 0
+    emptied = changed & ~F.coalesce(F.col("kept_text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    new = {"text": F.col("kept_text"), "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("__row.n_chars"))}
+    return out.where(~emptied).select(*[new.get(c, F.col("__row").getField(c)).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of word 5-gram sets with a Jaccard similarity of 0.8: the one with the least id."""
+    """One document of each class of word 5-gram sets with a Jaccard similarity of 0.8: the one with the least id.
+
+    Rows with the same id are one document: they stay or go together.
+    """
     classes = jaccard_join.classes(docs, width=5, percent=80)
-    stay = materialize(classes.where(F.col("id").eqNullSafe(F.col("component"))).select("id").distinct(), "stays")
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    stay = materialize(classes.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__stays")).distinct(), "stays")
+    own = _row(docs, F.col("doc_id").alias("__id"))
+    return own.join(stay, F.col("__id").eqNullSafe(F.col("__stays")), "left_semi").select(*_columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
