@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import short_batches, tidy
 from .hashing import SPACE, mix
 
 SPECIAL = "<|endoftext|>"
@@ -181,7 +182,8 @@ def _mapped(docs: DataFrame, keep: list[str], text_col: str, more: str, columns,
                 made = columns(own, part.column(0))
                 yield pa.record_batch([*(part.column(c) for c in range(1, part.num_columns)), *made.values()], names=[*part.schema.names[1:], *made])
 
-    return held.mapInArrow(run, _schema(held, more))
+    short_batches(docs.sparkSession)
+    return held.mapInArrow(tidy(run), _schema(held, more))
 
 
 def encode(docs: DataFrame, keep: list[str], text_col: str = "text", files: tuple[str, str] | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bit_set, members
-from .common import materialize
+from .common import give_back, materialize, short_batches, tidy
 from .hashing import _powers, mix, string_buffers, text_slices, word_hashes, word_spans
 
 MIN_WORDS = 8
@@ -94,7 +94,7 @@ class Lines:
 
 def _slices(column: pa.Array):
     data, offsets = string_buffers(column)
-    for i, j in text_slices(offsets, 1 << 21):
+    for i, j in text_slices(offsets, 1 << 20):
         yield i, j, Lines(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
 
 
@@ -230,6 +230,7 @@ def _block(data: bytes) -> np.ndarray:
 def _join_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     _, gone, by = _decide(np.concatenate([_block(x.as_py()) for x in table.column("data")]))
     gone, by = _pairs(gone, by)
+    give_back()
     return pa.table({"gone": pa.array(gone.view(np.int64)), "by": pa.array(by.view(np.int64))})
 
 
@@ -259,8 +260,9 @@ def _place(df: DataFrame, id_col: str) -> F.Column:
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, line, a): the place and hash of each line of min_words or more that stays."""
     spark = docs.sparkSession
+    short_batches(spark)
     own = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"))
-    rows = own.mapInArrow(_scan(min_words), "a long, b long, doc long, line int, keys array<long>")
+    rows = own.mapInArrow(tidy(_scan(min_words)), "a long, b long, doc long, line int, keys array<long>")
     first = F.min(F.struct("doc", "line"))
     lines = rows.groupBy("a", "b").agg(first.alias("at"), F.any_value("keys").alias("keys"))
     lines = materialize(lines.select("a", "b", "at.doc", "at.line", "keys"), "lines")
@@ -270,12 +272,12 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     halves = exploded.join(twice, "key", "left_semi").groupBy("a", "b").agg(F.collect_set("key").alias("shared"))  # four keys a line
     candidates = materialize(lines.join(halves, ["a", "b"]), "line-candidates")
     bits = spark.sparkContext.broadcast(bit_set(candidates, "a"))
-    words = own.select("__text").mapInArrow(_words_of(bits, min_words), "wa long, wb long, words binary").groupBy("wa", "wb").agg(F.any_value("words").alias("words"))
+    words = own.select("__text").mapInArrow(tidy(_words_of(bits, min_words)), "wa long, wb long, words binary").groupBy("wa", "wb").agg(F.any_value("words").alias("words"))
     worded = candidates.join(words, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
     worded = materialize(worded, "line-words")
 
     buckets = max(8, 2 * own.rdd.getNumPartitions())
-    emitted = materialize(worded.select("a", "doc", "line", "keys", "shared", "words").mapInArrow(_neighbourhood(buckets), "bucket int, data binary, gone long, by long"), "line-variants")
+    emitted = materialize(worded.select("a", "doc", "line", "keys", "shared", "words").mapInArrow(tidy(_neighbourhood(buckets)), "bucket int, data binary, gone long, by long"), "line-variants")
     joined = emitted.where("data is not null").groupBy("bucket").applyInArrow(_join_bucket, "gone long, by long")
     pairs = emitted.where("gone is not null").select("gone", "by").unionByName(joined).distinct()
     left, right = worded.select(F.col("a").alias("gone"), "a", "b", F.col("words").alias("x"), F.struct("doc", "line").alias("px")), worded.select(F.col("a").alias("by"), F.col("words").alias("y"), F.struct("doc", "line").alias("py"))
@@ -313,7 +315,7 @@ def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
     joined = rows.join(kept.hint("shuffle_hash"), F.col("__doc") == F.col("__of"), "left").select("__text", "__kept", *[f"__k{i}" for i in range(len(keep))])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[2:]), "text string, n_lines long, n_removed long"])
-    out = joined.mapInArrow(_rewrite(min_words), schema)
+    out = joined.mapInArrow(tidy(_rewrite(min_words)), schema)
     return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], F.col("text").alias("kept_text"), "n_lines", "n_removed")
 
 

@@ -32,7 +32,7 @@ from .hashing import chain, mix, string_buffers, text_slices, word_hashes, word_
 BEGIN = mix(np.array([11], dtype=np.uint64))[0]
 END = mix(np.array([12], dtype=np.uint64))[0]
 #: Tokens that a counting task holds before it passes on what it has summed.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 _BLOCK = "level int, bucket int, data binary"
 
 
@@ -208,12 +208,13 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 3, buckets: int
     if order < 1:
         raise ValueError("order must be 1 or more")
     spark = texts.sparkSession
+    common.short_batches(spark)
     texts = texts.select(F.col(text_col).cast("string"))
     buckets = buckets or max(8, texts.rdd.getNumPartitions())
     path = common.fresh_path(spark, "lm")
     if (local := common.local_path(path)) is not None:
         os.makedirs(local, exist_ok=True)
-    blocks = texts.mapInArrow(_counter(order, buckets), _BLOCK)
+    blocks = texts.mapInArrow(common.tidy(_counter(order, buckets)), _BLOCK)
     stats = {}
     for level in range(order, 0, -1):
         made = common.materialize(blocks.where(F.col("level") == level).groupBy("bucket").applyInArrow(_merger(level, buckets, path), _BLOCK), f"lm-level{level}")
@@ -319,7 +320,8 @@ def score(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: str
     """keep's columns of every row with n_tokens, n_known, base_score, score (log10) and perplexity."""
     held = docs.select(F.col(text_col).cast("string").alias("__text"), *keep)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema.fields[1:]] + ["n_tokens long, n_known long, base_score double, score double, perplexity double"])
-    return held.mapInArrow(_scorer(model), schema)
+    common.short_batches(docs.sparkSession)
+    return held.mapInArrow(common.tidy(_scorer(model)), schema)
 
 
 def score_held_out(docs: DataFrame, order: int = 2) -> DataFrame:

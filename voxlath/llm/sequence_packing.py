@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path
+from .common import fresh_path, short_batches, tidy
 from .hashing import string_buffers
 
 PAD, BEGIN, END, FIRST = 0, 1, 2, 3
@@ -136,7 +136,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids_co
     """
     source = F.col(text_col).cast("string") if ids_col is None else F.col(ids_col).cast("array<int>")
     own = docs.select(source.alias("__ids"), F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"))
-    return own.mapInArrow(_packer(length, group_ids, ids_col is None), _SCHEMA.format(own.schema["__id"].dataType.simpleString()))
+    short_batches(docs.sparkSession)
+    return own.mapInArrow(tidy(_packer(length, group_ids, ids_col is None)), _SCHEMA.format(own.schema["__id"].dataType.simpleString()))
 
 
 def _pieces(batches):
@@ -164,7 +165,7 @@ def written(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     pack(docs, length=length).write.option("compression", "zstd").parquet(path)
     back = spark.read.parquet(path).select("ids", "cu_seqlens", "segments")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pieces = back.mapInArrow(_pieces, f"row_id long, doc_id {kind}, piece int, n long, sha string")
+    pieces = back.mapInArrow(tidy(_pieces), f"row_id long, doc_id {kind}, piece int, n long, sha string")
     whole = pieces.groupBy("row_id", "doc_id").agg(F.sum("n").alias("n_ids"), F.count("*").alias("n_pieces"), F.array_sort(F.collect_list(F.struct("piece", "sha"))).alias("p"))  # the pieces of one document
     return whole.select("doc_id", "n_ids", "n_pieces", F.sha2(F.array_join(F.col("p.sha"), ","), 256).alias("pieces_sha256"))
 

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import short_batches, tidy
+
 #: Bytes of item text that one pass holds.
 ITEM_BLOCK = 4 << 20
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -117,7 +119,7 @@ def _pass(tables, names: list[str], again: bool):
             ]
             yield pa.record_batch([batch.column(c) for c in range(len(names))] + found, names=[*names, "n_words", "spans", "items"])
 
-    return search
+    return tidy(search)
 
 
 def _item_blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[str | None, str | None]]]:
@@ -135,6 +137,7 @@ def _item_blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[str | None
 def search(docs: DataFrame, items: DataFrame, keep: list[str], width: int = 10, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", item_block: int = ITEM_BLOCK) -> DataFrame:
     """keep's columns of every document with n_words, spans of hit words and the items that occur."""
     spark: SparkSession = docs.sparkSession
+    short_batches(spark)
     held = docs.select(F.col(text_col).cast("string").alias("__text"), *keep)
     base = [(f.name, f.dataType.simpleString()) for f in held.schema.fields]
     names = [n for n, _ in base]
