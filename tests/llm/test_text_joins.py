@@ -186,7 +186,7 @@ def test_codec_equals_whole_text_encoding(text):
 
 def test_chunks_are_shared_and_joins_repaired():
     own = chunked_bpe.Codec(*chunked_bpe.vocabulary_files())
-    passage = " ".join(f"piece{i}" for i in range(600))
+    passage = " ".join(f"piece{i}" for i in range(6000))
     own.encode("first " + passage)
     before = len(own._chunks)
     own.encode("quite another start " + passage)
