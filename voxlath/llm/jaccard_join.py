@@ -11,8 +11,12 @@ share T shingles with its partner, so the T-1 longest of its lists are set aside
 lists are merged on a heap, and what comes up is probed for in the long lists by binary search
 (DivideSkip).  Searches skip sets that are linked already and stop when one class is left.
 
-A group larger than a block is dealt into blocks which all hold the group's least set; sets that
-are not of that set's class afterwards are searched in all blocks of the group.
+Chance agreements can chain unrelated sets into groups larger than a block.  In such groups the
+sets of each key are compared by parity bitmaps first: bits that differ are at most the shingles
+that differ, so what exceeds the bound can't link.  The sets that may link form the new groups.
+Those that are still larger than a block are dealt into blocks which all hold the group's pilot,
+the set that most others may link with; sets that are not of the pilot's class afterwards are
+searched in all blocks of the group.
 
 Null and empty texts have no shingles and link with nothing; each is its own class.  A text of
 fewer words than a shingle has is one shingle.  Repeated rows are exact copies.  A null id is in
@@ -38,6 +42,10 @@ from .hashing import chain, mix, string_buffers, text_slices, word_hashes, word_
 BLOCK_SETS, BLOCK_SHINGLES = 1500, 1_500_000
 #: Keys that a task holds before it passes them on.
 KEYS_HELD = 500_000
+#: Sets of a key that are compared by bitmaps; with more, all may link.
+KEY_SETS = 2000
+#: Rows of bitmaps that one task compares, about, and bits of a bitmap at most.
+BITMAP_ROWS, BITMAP_BITS = 50_000, 4096
 #: Parts in which the documents of one set are joined with its class.
 SALTS = 16
 #: Ratio of the sizes at which segments' numbers change.
@@ -346,6 +354,81 @@ def _search_rest(percent: int):
     return search
 
 
+def parity_bitmap(own: np.ndarray) -> np.ndarray:
+    """A set's shingles as bits by hash, each bit the parity of its shingles' number; a power of two of 64-bit words."""
+    m = 64
+    while m < min(len(own), BITMAP_BITS):
+        m *= 2
+    odd = np.bincount((mix(own ^ _OTHER) & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def may_link(sizes: np.ndarray, bitmaps: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs of places that connect all sets whose bitmaps don't rule out a link.
+
+    Bitmaps are folded to the shortest one's length.  Sets a and b link if they differ in at most
+    (100 - percent) / (100 + percent) * (|a| + |b|) shingles.
+    """
+    words = min(map(len, bitmaps))
+    bits = np.stack([np.bitwise_xor.reduce(x.reshape(-1, words), axis=0) for x in bitmaps])
+    left, pairs = np.arange(1, len(sizes)), []
+    queue = [0]
+    while len(left):
+        if not queue:
+            queue, left = [int(left[0])], left[1:]
+            continue
+        q = queue.pop()
+        differ = np.bitwise_count(bits[left] ^ bits[q]).sum(axis=1, dtype=np.int64)
+        near = (100 + percent) * differ <= (100 - percent) * (sizes[left] + sizes[q])
+        pairs += [(q, p) for p in left[near].tolist()]
+        queue += left[near].tolist()
+        left = left[~near]
+    return pairs
+
+
+def _bitmaps(batches):
+    for batch in batches:
+        sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in batch.column(1)]
+        yield pa.record_batch([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([parity_bitmap(x).tobytes() for x in sets], pa.binary())], names=["lo", "n", "bits"])
+
+
+def _compare(percent: int):
+    """May-links of all keys of a bucket."""
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("lo", "ascending")])
+        keys, sizes, ids = (table.column(c).to_numpy() for c in ("key", "n", "lo"))
+        blobs, pairs = table.column("bits").to_pylist(), []
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            pairs += [(i + a, i + b) for a, b in may_link(sizes[i:j], [np.frombuffer(x, dtype=np.uint64) for x in blobs[i:j]], percent)]
+        give_back()
+        return _links(ids, pairs)
+
+    return compare
+
+
+def _narrower(large: DataFrame, keyed: DataFrame, percent: int) -> DataFrame:
+    """May-links (u, v) between sets of large groups; keys with the same sets are compared once."""
+    own = materialize(keyed.join(large.select("lo"), "lo", "left_semi").distinct(), "large-keys")
+    members = own.groupBy("key").agg(F.count("*").alias("k"), F.sum(F.xxhash64("lo").cast("decimal(38,0)")).alias("who"), F.bit_xor(F.xxhash64("lo")).alias("too")).where("k > 1")
+    chosen = materialize(members.groupBy("k", "who", "too").agg(F.min("key").alias("key")).select("key", "k"), "chosen-keys")
+    met = own.join(chosen, "key")
+    bitmaps = large.select("lo", "shingles").mapInArrow(tidy(_bitmaps), "lo long, n long, bits binary")
+    few = met.where(F.col("k") <= KEY_SETS).select("key", "lo")
+    buckets = max(8, few.count() // BITMAP_ROWS)
+    near = few.join(bitmaps, "lo").groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInArrow(_compare(percent), "u long, v long")
+    many = met.where(F.col("k") > KEY_SETS)
+    stars = many.join(many.groupBy("key").agg(F.min("lo").alias("hub")), "key").where("lo <> hub").select(F.col("lo").alias("u"), F.col("hub").alias("v"))
+    return materialize(near.unionByName(stars).distinct(), "may-links")
+
+
+def _dealt(groups: DataFrame) -> DataFrame:
+    """(block, parts) of every group of (id, component, n)."""
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    return groups.groupBy(F.col("component").alias("block")).agg(parts.alias("parts"))
+
+
 def _set_links(sets: DataFrame, own: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) between sets, enough to make all classes."""
     spark = sets.sparkSession
@@ -357,29 +440,38 @@ def _set_links(sets: DataFrame, own: DataFrame, width: int, percent: int) -> Dat
     keyed = materialize(own.select("__text").mapInArrow(tidy(_keyed(repeated, width, percent)), "key long, lo long"), "keys")
     shared = keyed.groupBy("key").agg(F.min("lo").alias("hub"), F.max("lo").alias("most")).where("hub <> most").select("key", "hub")
     stars = keyed.join(shared, "key").where("lo <> hub").select(F.col("lo").alias("u"), F.col("hub").alias("v"))
-    groups = components(stars)
-    sizes = materialize(groups.join(sets.select(F.col("lo").alias("id"), "hi", "n", "mark"), "id"), "candidate-sets")
-    totals = sizes.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
-    wanted = sizes.join(totals, "component").select(F.col("id").alias("lo"), "hi", "mark", F.col("component").alias("block"), "parts")
+    sizes = materialize(components(stars).join(sets.select(F.col("lo").alias("id"), "hi", "n", "mark"), "id"), "candidate-sets")
+    wanted = sizes.withColumnRenamed("component", "block").join(_dealt(sizes), "block").select(F.col("id").alias("lo"), "hi", "mark", "block", "parts")
     bits = spark.sparkContext.broadcast(bit_set(sizes.select(F.col("id").bitwiseXOR(F.col("mark")).alias("h")), "h"))
     found = own.select("__text", "mark").mapInArrow(tidy(_fetch(bits, width)), "slo long, shi long, smark long, shingles binary")
     full = wanted.join(found, (F.col("lo") == F.col("slo")) & (F.col("hi") == F.col("shi")) & (F.col("mark") == F.col("smark"))).select("block", "parts", "lo", "shingles").dropDuplicates(["lo"])
     full = materialize(full, "candidate-shingles")
 
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("lo"), F.col("parts"))).otherwise(0).cast("int")
-    dealt = full.withColumn("part", part)
-    first = full.where("parts > 1 and lo = block")  # the least set of a large group goes to all its blocks
-    spread = dealt.where("parts = 1 or lo <> block").unionByName(first.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-    bucket = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("long")).otherwise(F.xxhash64("block", "part"))
     schema = "u long, v long"
-    links = materialize(spread.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_search_blocks(percent), schema), "links-in-blocks")
-
-    large = dealt.where("parts > 1")
+    whole = full.where("parts = 1").withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("long")).select("bucket", "block", F.lit(0).alias("part"), "lo", "shingles")
+    links = materialize(whole.groupBy("bucket").applyInArrow(_search_blocks(percent), schema), "links-in-blocks")
+    large = full.where("parts > 1").select("lo", "shingles")
     if large.isEmpty():
         return links
-    classes = components(links)
-    named = large.select("block", "parts", "part", "lo", "shingles").join(classes.select(F.col("id").alias("lo"), F.col("component").alias("own")), "lo", "left")
-    main = named.where("lo = block").select("block", F.coalesce("own", "lo").alias("main"))
+
+    may = _narrower(large, keyed, percent)
+    groups = materialize(components(may).join(sizes.select("id", "n"), "id"), "narrower-groups")
+    ends = may.select("u").unionByName(may.select(F.col("v").alias("u"))).groupBy(F.col("u").alias("id")).count()
+    pilots = groups.join(ends, "id").groupBy(F.col("component").alias("block")).agg(F.max_by("id", F.struct("count", -F.col("id"))).alias("pilot"))
+    named = groups.select(F.col("id").alias("lo"), F.col("component").alias("block")).join(_dealt(groups).join(pilots, "block"), "block")
+    dealt = materialize(named.join(large, "lo").withColumn("part", F.pmod(F.xxhash64("lo"), F.col("parts")).cast("int")), "narrower-shingles")
+    first = dealt.where("parts > 1 and lo = pilot")  # the pilot of a group goes to all its blocks
+    spread = dealt.where("parts = 1 or lo <> pilot").unionByName(first.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    bucket = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("long")).otherwise(F.xxhash64("block", "part"))
+    more = materialize(spread.withColumn("bucket", bucket).select("bucket", "block", "part", "lo", "shingles").groupBy("bucket").applyInArrow(_search_blocks(percent), schema), "links-in-narrower-blocks")
+    links = links.unionByName(more)
+
+    dealt = dealt.where("parts > 1")
+    if dealt.isEmpty():
+        return links
+    classes = components(more)
+    named = dealt.join(classes.select(F.col("id").alias("lo"), F.col("component").alias("own")), "lo", "left")
+    main = named.where("lo = pilot").select("block", F.coalesce("own", "lo").alias("main"))
     named = materialize(named.join(main, "block").withColumn("asks", F.coalesce("own", "lo") != F.col("main")), "large-groups")
     turns = F.floor(F.pmod(F.xxhash64("lo", F.lit(1)), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("turns")).cast("int")
     count = named.where("asks").groupBy("block").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("turns"))
