@@ -4,6 +4,7 @@ import hashlib
 import re
 import struct
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -113,6 +114,35 @@ def test_linked_sets_share_a_segment(common, left, right, seed):
         assert set(keys.keys(a).tolist()) & set(keys.keys(b).tolist())
 
 
+def test_bitmaps_rule_out_no_link():
+    rng = np.random.default_rng(5)
+    for n in (3, 60, 70, 900, 6000):
+        base = rng.integers(1, 1 << 63, n).astype(np.uint64)
+        sets = [np.unique(base)]
+        for share in (0.82, 0.9, 0.97, 0.1):
+            sets.append(np.unique(np.concatenate([base[: int(n * share)], rng.integers(1, 1 << 63, max(1, n // 9)).astype(np.uint64)])))
+        pairs = jaccard_join.may_link(np.array([len(s) for s in sets]), [jaccard_join.parity_bitmap(s) for s in sets], 80)
+        classes = jaccard_join.Classes(len(sets))
+        for a, b in pairs:
+            classes.join(a, b)
+        for a, b in combinations(range(len(sets)), 2):
+            same = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * same >= 80 * (len(sets[a]) + len(sets[b]) - same):
+                assert classes.of(a) == classes.of(b)
+        if n in (900, 6000):
+            assert classes.of(4) != classes.of(0)
+
+
+@pytest.mark.parametrize("key_sets", [2, 2000])
+def test_percolated_groups_keep_their_classes(spark, monkeypatch, key_sets):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 5)
+    monkeypatch.setattr(jaccard_join, "KEY_SETS", key_sets)
+    passage = "shared words that very many of the texts have among their own ones here"
+    rows = [(i, f"{passage} " + " ".join(f"v{i // 3}x{j}" for j in range(80)) + (f" end{i}" if i % 3 else "")) for i in range(60)]
+    got = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), width=1, percent=80).collect()
+    assert {r["id"]: r["component"] for r in got} == {i: i - i % 3 for i in range(60)}
+
+
 def test_search_equals_direct_comparison():
     rng = np.random.default_rng(7)
     sets = [np.unique(rng.choice(40, size=int(rng.integers(5, 40)), replace=False).astype(np.uint64)) for _ in range(80)]

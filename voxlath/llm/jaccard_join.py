@@ -194,8 +194,8 @@ def _keyed(bits, width: int, percent: int):
     return emit
 
 
-def _fetch(bits, width: int):
-    """Sets that may be candidates, from the one row that stands for each set."""
+def _fetch(bits, width: int, form):
+    """Sets that may be wanted, from the one row that stands for each set, as the array that form makes of them."""
 
     def fetch(batches):
         for batch in batches:
@@ -204,7 +204,7 @@ def _fetch(bits, width: int):
             for i, own in shingle_sets(batch.column(0), width):
                 a, b = _set_id(own)
                 if len(own) and members(bits.value, np.array([a ^ int(mark[i])], dtype=np.int64).view(np.uint64))[0]:
-                    rows.append((a, b, int(mark[i]), own.tobytes()))
+                    rows.append((a, b, int(mark[i]), form(own).tobytes()))
                 if len(rows) >= 500:
                     yield _set_batch(rows)
                     rows = []
@@ -215,7 +215,16 @@ def _fetch(bits, width: int):
 
 
 def _set_batch(rows) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary())], names=["slo", "shi", "smark", "shingles"])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["slo", "shi", "smark", "data"])
+
+
+def _fetched(own: DataFrame, wanted: DataFrame, width: int, form) -> DataFrame:
+    """The wanted sets (lo, hi, mark, more columns) with their data, in one pass over the texts."""
+    bits = own.sparkSession.sparkContext.broadcast(bit_set(wanted.select(F.col("lo").bitwiseXOR(F.col("mark")).alias("h")), "h"))
+    found = own.select("__text", "mark").mapInArrow(tidy(_fetch(bits, width, form)), "slo long, shi long, smark long, data binary")
+    found = wanted.join(found, (F.col("lo") == F.col("slo")) & (F.col("hi") == F.col("shi")) & (F.col("mark") == F.col("smark")))
+    return found.drop("slo", "shi", "smark").dropDuplicates(["lo", "hi", "mark"])
 
 
 class Index:
@@ -386,12 +395,6 @@ def may_link(sizes: np.ndarray, bitmaps: list[np.ndarray], percent: int) -> list
     return pairs
 
 
-def _bitmaps(batches):
-    for batch in batches:
-        sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in batch.column(1)]
-        yield pa.record_batch([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([parity_bitmap(x).tobytes() for x in sets], pa.binary())], names=["lo", "n", "bits"])
-
-
 def _compare(percent: int):
     """May-links of all keys of a bucket."""
 
@@ -408,13 +411,13 @@ def _compare(percent: int):
     return compare
 
 
-def _narrower(large: DataFrame, keyed: DataFrame, percent: int) -> DataFrame:
+def _may_links(large: DataFrame, keyed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """May-links (u, v) between sets of large groups; keys with the same sets are compared once."""
     own = materialize(keyed.join(large.select("lo"), "lo", "left_semi").distinct(), "large-keys")
     members = own.groupBy("key").agg(F.count("*").alias("k"), F.sum(F.xxhash64("lo").cast("decimal(38,0)")).alias("who"), F.bit_xor(F.xxhash64("lo")).alias("too")).where("k > 1")
     chosen = materialize(members.groupBy("k", "who", "too").agg(F.min("key").alias("key")).select("key", "k"), "chosen-keys")
     met = own.join(chosen, "key")
-    bitmaps = large.select("lo", "shingles").mapInArrow(tidy(_bitmaps), "lo long, n long, bits binary")
+    bitmaps = _fetched(texts, large.select("lo", "hi", "mark", "n"), width, parity_bitmap).select("lo", "n", F.col("data").alias("bits"))
     few = met.where(F.col("k") <= KEY_SETS).select("key", "lo")
     buckets = max(8, few.count() // BITMAP_ROWS)
     near = few.join(bitmaps, "lo").groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInArrow(_compare(percent), "u long, v long")
@@ -424,9 +427,9 @@ def _narrower(large: DataFrame, keyed: DataFrame, percent: int) -> DataFrame:
 
 
 def _dealt(groups: DataFrame) -> DataFrame:
-    """(block, parts) of every group of (id, component, n)."""
+    """(block, parts) of every group of sets."""
     parts = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    return groups.groupBy(F.col("component").alias("block")).agg(parts.alias("parts"))
+    return groups.groupBy("block").agg(parts.alias("parts"))
 
 
 def _set_links(sets: DataFrame, own: DataFrame, width: int, percent: int) -> DataFrame:
@@ -440,36 +443,32 @@ def _set_links(sets: DataFrame, own: DataFrame, width: int, percent: int) -> Dat
     keyed = materialize(own.select("__text").mapInArrow(tidy(_keyed(repeated, width, percent)), "key long, lo long"), "keys")
     shared = keyed.groupBy("key").agg(F.min("lo").alias("hub"), F.max("lo").alias("most")).where("hub <> most").select("key", "hub")
     stars = keyed.join(shared, "key").where("lo <> hub").select(F.col("lo").alias("u"), F.col("hub").alias("v"))
-    sizes = materialize(components(stars).join(sets.select(F.col("lo").alias("id"), "hi", "n", "mark"), "id"), "candidate-sets")
-    wanted = sizes.withColumnRenamed("component", "block").join(_dealt(sizes), "block").select(F.col("id").alias("lo"), "hi", "mark", "block", "parts")
-    bits = spark.sparkContext.broadcast(bit_set(sizes.select(F.col("id").bitwiseXOR(F.col("mark")).alias("h")), "h"))
-    found = own.select("__text", "mark").mapInArrow(tidy(_fetch(bits, width)), "slo long, shi long, smark long, shingles binary")
-    full = wanted.join(found, (F.col("lo") == F.col("slo")) & (F.col("hi") == F.col("shi")) & (F.col("mark") == F.col("smark"))).select("block", "parts", "lo", "shingles").dropDuplicates(["lo"])
-    full = materialize(full, "candidate-shingles")
-
-    schema = "u long, v long"
-    whole = full.where("parts = 1").withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("long")).select("bucket", "block", F.lit(0).alias("part"), "lo", "shingles")
-    links = materialize(whole.groupBy("bucket").applyInArrow(_search_blocks(percent), schema), "links-in-blocks")
-    large = full.where("parts > 1").select("lo", "shingles")
-    if large.isEmpty():
-        return links
-
-    may = _narrower(large, keyed, percent)
-    groups = materialize(components(may).join(sizes.select("id", "n"), "id"), "narrower-groups")
-    ends = may.select("u").unionByName(may.select(F.col("v").alias("u"))).groupBy(F.col("u").alias("id")).count()
-    pilots = groups.join(ends, "id").groupBy(F.col("component").alias("block")).agg(F.max_by("id", F.struct("count", -F.col("id"))).alias("pilot"))
-    named = groups.select(F.col("id").alias("lo"), F.col("component").alias("block")).join(_dealt(groups).join(pilots, "block"), "block")
-    dealt = materialize(named.join(large, "lo").withColumn("part", F.pmod(F.xxhash64("lo"), F.col("parts")).cast("int")), "narrower-shingles")
-    first = dealt.where("parts > 1 and lo = pilot")  # the pilot of a group goes to all its blocks
+    sizes = components(stars).withColumnRenamed("id", "lo").join(sets.select("lo", "hi", "n", "mark"), "lo")
+    sizes = materialize(sizes.withColumnRenamed("component", "block"), "candidate-sets")
+    sizes = sizes.join(_dealt(sizes), "block").withColumn("pilot", F.col("block"))
+    large = sizes.where("parts > 1").drop("block", "parts", "pilot")
+    if not large.isEmpty():
+        may = _may_links(large, keyed, own, width, percent)
+        groups = components(may).select(F.col("id").alias("lo"), F.col("component").alias("block"))
+        groups = materialize(groups.join(large, "lo"), "narrower-groups")
+        ends = may.select("u").unionByName(may.select(F.col("v").alias("u"))).groupBy(F.col("u").alias("lo")).count()
+        pilots = groups.join(ends, "lo").groupBy("block").agg(F.max_by("lo", F.struct("count", -F.col("lo"))).alias("pilot"))
+        sizes = sizes.where("parts = 1").unionByName(groups.join(_dealt(groups).join(pilots, "block"), "block"))
+    full = _fetched(own, materialize(sizes.drop("n"), "wanted-sets"), width, np.asarray)
+    full = materialize(full.select("block", "parts", "pilot", "lo", F.col("data").alias("shingles")), "candidate-shingles")
+
+    dealt = full.withColumn("part", F.pmod(F.xxhash64("lo"), F.col("parts")).cast("int"))
+    first = full.where("parts > 1 and lo = pilot")  # the pilot of a large group goes to all its blocks
     spread = dealt.where("parts = 1 or lo <> pilot").unionByName(first.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
     bucket = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("long")).otherwise(F.xxhash64("block", "part"))
-    more = materialize(spread.withColumn("bucket", bucket).select("bucket", "block", "part", "lo", "shingles").groupBy("bucket").applyInArrow(_search_blocks(percent), schema), "links-in-narrower-blocks")
-    links = links.unionByName(more)
+    schema = "u long, v long"
+    spread = spread.select(bucket.alias("bucket"), "block", "part", "lo", "shingles")
+    links = materialize(spread.groupBy("bucket").applyInArrow(_search_blocks(percent), schema), "links-in-blocks")
 
     dealt = dealt.where("parts > 1")
     if dealt.isEmpty():
         return links
-    classes = components(more)
+    classes = components(links)
     named = dealt.join(classes.select(F.col("id").alias("lo"), F.col("component").alias("own")), "lo", "left")
     main = named.where("lo = pilot").select("block", F.coalesce("own", "lo").alias("main"))
     named = materialize(named.join(main, "block").withColumn("asks", F.coalesce("own", "lo") != F.col("main")), "large-groups")
