@@ -14,9 +14,9 @@ def bit_set(rows: DataFrame, column: str) -> np.ndarray:
     """Bits of the column's values; at most 2**(BITS - 6) rows come to the driver."""
     spread = F.shiftrightunsigned(F.col(column), 64 - BITS)
     words = rows.select(F.shiftright(spread, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(shiftrightunsigned(`{column}`, {64 - BITS}), 64) as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    found = words.toPandas()
+    found = words.toArrow()
     out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
-    out[found["w"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64).view(np.uint64)
+    out[found.column("w").to_numpy()] = found.column("b").to_numpy().view(np.uint64)
     return out
 
 

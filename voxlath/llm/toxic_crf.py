@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
 from . import common
 from .hashing import LOWER, part_hashes, string_buffers, text_slices, word_spans
 
@@ -292,7 +293,10 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
         own = [r["__text"] for r in rows.orderBy(F.xxhash64("__key"), "__key", "__text").limit(most).toLocalIterator()]
         texts += own
         toxic += [y == 1] * len(own)
-    return fit(texts, np.array(toxic, dtype=bool))
+    tagger = fit(texts, np.array(toxic, dtype=bool))
+    del texts
+    give_back()
+    return tagger
 
 
 def _tagged(tagger: Tagger, column: pa.Array, spans: bool):
