@@ -388,6 +388,7 @@ def may_link(sizes: np.ndarray, bitmaps: list[np.ndarray], percent: int) -> list
             continue
         q = queue.pop()
         differ = np.bitwise_count(bits[left] ^ bits[q]).sum(axis=1, dtype=np.int64)
+        differ = np.maximum(differ, np.abs(sizes[left] - sizes[q]))
         near = (100 + percent) * differ <= (100 - percent) * (sizes[left] + sizes[q])
         pairs += [(q, p) for p in left[near].tolist()]
         queue += left[near].tolist()
