@@ -3,7 +3,7 @@
 Two lines are near if their words (lower-cased A-Z, split at white space) are at most one
 insertion, deletion or substitution of a word apart.  A line goes if an equal or near line comes
 earlier, in the order of (order of the document, line number); so the earliest always stays.
-Lines of fewer than `min_words` words always stay.
+Lines of fewer than `min_words` words go only for an equal one; lines without words always stay.
 
 Equal lines are first summed to one row with their earliest place.  Of two near lines one half
 agrees, at a position that their length fixes; only lines that share such a half with another
@@ -107,10 +107,13 @@ def _scan(min_words: int):
         for batch in batches:
             ids = batch.column(1).to_numpy(zero_copy_only=False)
             for i, _, lines in _slices(batch.column(0)):
-                pick = np.flatnonzero(lines.last - lines.first >= min_words)
-                keys = _long(lines.halves(pick).reshape(-1))
+                n = lines.last - lines.first
+                pick = np.flatnonzero(n > 0)
+                long = n[pick] >= min_words
+                keys = _long(lines.halves(pick[long]).reshape(-1))
+                edges = np.concatenate([[0], np.cumsum(4 * long)]).astype(np.int32)
                 yield pa.record_batch(
-                    [_long(lines.a[pick]), _long(lines.b[pick]), pa.array(ids[i + lines.doc[pick]]), pa.array(lines.number[pick].astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(pick) + 1, 4, dtype=np.int32)), keys)],
+                    [_long(lines.a[pick]), _long(lines.b[pick]), pa.array(ids[i + lines.doc[pick]]), pa.array(lines.number[pick].astype(np.int32)), pa.ListArray.from_arrays(pa.array(edges), keys)],
                     names=["a", "b", "doc", "line", "keys"],
                 )
 
@@ -258,7 +261,7 @@ def _place(df: DataFrame, id_col: str) -> F.Column:
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, line, a): the place and hash of each line of min_words or more that stays."""
+    """(doc, line, a): the place and hash of each line with words that stays."""
     spark = docs.sparkSession
     short_batches(spark)
     own = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"))
@@ -286,27 +289,24 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return lines.join(gone, ["a", "b"], "left_anti").select("doc", "line", "a")
 
 
-def _rewrite(min_words: int):
-    def rewrite(batches):
-        for batch in batches:
-            texts, kept = batch.column(0), batch.column(1)
-            out, n_lines, n_removed = [None] * batch.num_rows, np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            for i, j, lines in _slices(texts):
-                edges = np.searchsorted(lines.doc, np.arange(j - i + 1))
-                judged = lines.last - lines.first >= min_words
-                for d in range(i, j):
-                    if not texts[d].is_valid:
-                        continue
-                    own = slice(edges[d - i], edges[d - i + 1])
-                    stay = {(x["line"], x["a"]) for x in kept[d].as_py() or ()}
-                    hashes = lines.a[own].view(np.int64).tolist()
-                    flags = [not long or (k, h) in stay for k, (long, h) in enumerate(zip(judged[own].tolist(), hashes))]
-                    text = texts[d].as_py()
-                    n_lines[d], n_removed[d] = len(flags), len(flags) - sum(flags)
-                    out[d] = text if n_removed[d] == 0 else "\n".join(x for x, f in zip(text.split("\n"), flags) if f)
-            yield pa.record_batch([*(batch.column(c) for c in range(2, batch.num_columns)), pa.array(out, pa.string()), pa.array(n_lines), pa.array(n_removed)], names=[*batch.schema.names[2:], "text", "n_lines", "n_removed"])
-
-    return rewrite
+def _rewrite(batches):
+    for batch in batches:
+        texts, kept = batch.column(0), batch.column(1)
+        out, n_lines, n_removed = [None] * batch.num_rows, np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+        for i, j, lines in _slices(texts):
+            edges = np.searchsorted(lines.doc, np.arange(j - i + 1))
+            judged = lines.last > lines.first
+            for d in range(i, j):
+                if not texts[d].is_valid:
+                    continue
+                own = slice(edges[d - i], edges[d - i + 1])
+                stay = {(x["line"], x["a"]) for x in kept[d].as_py() or ()}
+                hashes = lines.a[own].view(np.int64).tolist()
+                flags = [not words or (k, h) in stay for k, (words, h) in enumerate(zip(judged[own].tolist(), hashes))]
+                text = texts[d].as_py()
+                n_lines[d], n_removed[d] = len(flags), len(flags) - sum(flags)
+                out[d] = text if n_removed[d] == 0 else "\n".join(x for x, f in zip(text.split("\n"), flags) if f)
+        yield pa.record_batch([*(batch.column(c) for c in range(2, batch.num_columns)), pa.array(out, pa.string()), pa.array(n_lines), pa.array(n_removed)], names=[*batch.schema.names[2:], "text", "n_lines", "n_removed"])
 
 
 def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -315,7 +315,7 @@ def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
     joined = rows.join(kept.hint("shuffle_hash"), F.col("__doc") == F.col("__of"), "left").select("__text", "__kept", *[f"__k{i}" for i in range(len(keep))])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[2:]), "text string, n_lines long, n_removed long"])
-    out = joined.mapInArrow(tidy(_rewrite(min_words)), schema)
+    out = joined.mapInArrow(tidy(_rewrite), schema)
     return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], F.col("text").alias("kept_text"), "n_lines", "n_removed")
 
 
