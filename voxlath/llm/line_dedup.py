@@ -1,17 +1,15 @@
-"""Line dedup across documents by a deletion-neighbourhood join over words.
+"""Line dedup across documents by a join on shared parts of lines, with an edit bound over words.
 
-Two lines are near if their words (lower-cased A-Z, split at white space) are at most one
-insertion, deletion or substitution of a word apart.  A line goes if an equal or near line comes
+Two lines are near if their words (lower-cased A-Z, split at white space) are at most `edits`
+insertions, deletions or substitutions of a word apart.  A line goes if an equal or near line comes
 earlier, in the order of (order of the document, line number); so the earliest always stays.
 Lines of fewer than `min_words` words go only for an equal one; lines without words always stay.
 
-Equal lines are first summed to one row with their earliest place.  Of two near lines one half
-agrees, at a position that their length fixes; only lines that share such a half with another
-go on.  These emit every deletion variant of their other half as hashed keys: equal variants with
-a word deleted at the same place are one substitution apart, a variant that is a whole half is
-one insertion apart.  Within equal variants only the earliest line has to travel on, as the
-others are decided.  The words of each decided line and of the one that decides it are compared
-at the end.
+Equal lines are first summed to one row with their earliest place.  Of two near lines the shorter
+one, cut into edits + 1 parts, has a part that stands whole in the longer one, at one of few places
+that the lengths fix; only lines that share such a part go on.  Lines with one part are compared
+first by a word bitmap, in which an edit changes at most two bits, and by their words only where
+that lets a pair pass.  A part that very many lines have is dealt to tasks by pairs of blocks.
 
 Null texts stay null and have no lines; empty ones have one empty line.  A null document id is
 the earliest, and all rows with the same id and place are one place, so that repeated rows are
@@ -32,11 +30,12 @@ from .common import give_back, materialize, short_batches, tidy
 from .hashing import _powers, mix, string_buffers, text_slices, word_hashes, word_spans
 
 MIN_WORDS = 8
+#: Words by which two lines may differ.
+EDITS = 2
+#: Lines of one part that are compared with each other in one go.
+BLOCK = 2000
 _P, _Q = 0xB5297A4D3F84D5A9, 0x68E31DA4C6D8E8F5
 _INVERSE = {b: pow(b, -1, 1 << 64) for b in (_P, _Q)}
-_PREFIX, _SUFFIX = 1, 2
-#: Kinds of variants: a word deleted, for equal lengths; the longer line's with one deleted; the shorter line's whole half.
-_EQUAL, _LONGER, _WHOLE = 0, 1, 2
 _EARLIEST = -(1 << 63)
 
 
@@ -80,17 +79,35 @@ class Lines:
         self.a = _span(self.sums, _P, self.first, self.last)
         self.b = _span(_sums(self.words, _Q), _Q, self.first, self.last)
 
-    def halves(self, pick: np.ndarray) -> np.ndarray:
-        """Keys of the picked lines: their own length's and the next shorter's halves, the first and the second of each."""
-        first, last = self.first[pick], self.last[pick]
-        n = last - first
+    def parts(self, pick: np.ndarray, edits: int) -> np.ndarray:
+        """Keys of the picked lines: first their own parts, then where they may hold a part of another line, as short or shorter by up to edits words."""
+        first, n = self.first[pick], self.last[pick] - self.first[pick]
         out = []
-        for length in (n, n - 1):
-            for side in (_PREFIX, _SUFFIX):
-                half = _span(self.sums, _P, first, first + length // 2) if side == _PREFIX else _span(self.sums, _P, last - (length - length // 2), last)
-                out.append(mix(half ^ (length * 4 + side).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        for shorter, part, shift in _places(edits):
+            length = np.maximum(n - shorter, 0)
+            at, to = length * part // (edits + 1) + shift, length * (part + 1) // (edits + 1) + shift
+            good = (at >= 0) & (to <= n)
+            at, to = np.where(good, at, 0), np.where(good, to, 0)
+            key = _span(self.sums, _P, first + at, first + to)
+            out.append(mix(key ^ (length * (edits + 1) + part).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         return np.stack(out, axis=1)
 
+    def bags(self, pick: np.ndarray) -> np.ndarray:
+        """64 bits of each picked line: which of 64 classes of words it has an odd number of."""
+        bits = np.zeros(len(self.words) + 1, dtype=np.uint64)
+        np.bitwise_xor.accumulate(np.uint64(1) << (self.words >> np.uint64(58)), out=bits[1:])
+        return bits[self.last[pick]] ^ bits[self.first[pick]]
+
+
+def _places(edits: int) -> list[tuple[int, int, int]]:
+    """(words fewer, part, shift): parts of the shorter line and how far they may have moved in the longer; a line's own parts first.
+
+    Some part has no more edits before it than its number, and no more after it than parts follow.
+    """
+    own = [(0, part, 0) for part in range(edits + 1)]
+    moved = [(d, i, x) for d in range(edits + 1) for i in range(edits + 1) for x in range(-edits, edits + 1) if abs(x) <= i and abs(x - d) <= edits - i]
+    return own + [p for p in moved if p not in own]
+
 
 def _slices(column: pa.Array):
     data, offsets = string_buffers(column)
@@ -102,7 +119,9 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
 
-def _scan(min_words: int):
+def _scan(min_words: int, edits: int):
+    width = len(_places(edits))
+
     def scan(batches):
         for batch in batches:
             ids = batch.column(1).to_numpy(zero_copy_only=False)
@@ -110,11 +129,11 @@ def _scan(min_words: int):
                 n = lines.last - lines.first
                 pick = np.flatnonzero(n > 0)
                 long = n[pick] >= min_words
-                keys = _long(lines.halves(pick[long]).reshape(-1))
-                edges = np.concatenate([[0], np.cumsum(4 * long)]).astype(np.int32)
+                keys = _long(lines.parts(pick[long], edits).reshape(-1))
+                edges = np.concatenate([[0], np.cumsum(width * long)]).astype(np.int32)
                 yield pa.record_batch(
-                    [_long(lines.a[pick]), _long(lines.b[pick]), pa.array(ids[i + lines.doc[pick]]), pa.array(lines.number[pick].astype(np.int32)), pa.ListArray.from_arrays(pa.array(edges), keys)],
-                    names=["a", "b", "doc", "line", "keys"],
+                    [_long(lines.a[pick]), _long(lines.b[pick]), pa.array(ids[i + lines.doc[pick]]), pa.array(lines.number[pick].astype(np.int32)), pa.array(n[pick].astype(np.int32)), _long(lines.bags(pick)), pa.ListArray.from_arrays(pa.array(edges), keys)],
+                    names=["a", "b", "doc", "line", "n", "bag", "keys"],
                 )
 
     return scan
@@ -135,157 +154,111 @@ def _words_of(bits, min_words: int):
     return scan
 
 
-def variants(words: np.ndarray, keys: list[int], shared: set[int]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(half's key, variants, places, kinds) of a line, for those of its halves that another line shares."""
-    n, out = len(words), []
-    for i, (length, side) in enumerate((x, s) for x in (n, n - 1) for s in (_PREFIX, _SUFFIX)):
-        if keys[i] not in shared:
-            continue
-        half = length // 2 if side == _PREFIX else length - length // 2
-        other = words[half:] if side == _PREFIX else words[: n - half]
-        sums = _sums(other, _P)
-        cut = np.arange(len(other))
-        value = sums[cut] + (sums[-1] - sums[cut + 1]) * np.uint64(_INVERSE[_P])
-        if length == n:  # the whole half too, which a line with one more word may hold
-            out.append((keys[i], np.append(value, sums[-1]), np.append(cut, -1), np.append(np.full(len(cut), _EQUAL), _WHOLE)))
-        else:
-            out.append((keys[i], value, cut, np.full(len(cut), _LONGER)))
-    return out
-
-
-_DTYPE = np.dtype([("key", "u8"), ("value", "u8"), ("place", "i4"), ("kind", "i4"), ("doc", "i8"), ("line", "i4"), ("a", "u8")])
-
-
-def _decide(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows that still matter, ids of decided lines, ids of the earlier lines that decide them).
-
-    Rows with equal variant, place and kind are one substitution apart: the earliest decides the
-    others.  A whole half and the variants of longer lines equal to it are one insertion apart.
-    """
-    if not len(rows):
-        return rows, rows["a"], rows["a"]
-    rows = rows[np.lexsort((rows["line"], rows["doc"], rows["place"], rows["kind"], rows["value"], rows["key"]))]
-    same = (rows["key"][1:] == rows["key"][:-1]) & (rows["value"][1:] == rows["value"][:-1])
-    new = np.concatenate([[True], ~(same & (rows["kind"][1:] == rows["kind"][:-1]) & (rows["place"][1:] == rows["place"][:-1]))])
-    head = np.flatnonzero(new)[np.cumsum(new) - 1]
-    gone = [rows["a"][~new]]
-    by = [rows["a"][head[~new]]]
-    left = rows[new]
-    same = (left["key"][1:] == left["key"][:-1]) & (left["value"][1:] == left["value"][:-1])
-    group = np.cumsum(np.concatenate([[True], ~same])) - 1
-    whole = np.full(group[-1] + 1, -1)
-    at = np.flatnonzero(left["kind"] == _WHOLE)
-    whole[group[at]] = at
-    longer = np.flatnonzero((left["kind"] == _LONGER) & (whole[group] >= 0))
-    other = whole[group[longer]]
-    later = (left["doc"][longer] > left["doc"][other]) | ((left["doc"][longer] == left["doc"][other]) & (left["line"][longer] > left["line"][other]))
-    gone += [left["a"][longer[later]], left["a"][other[~later]]]
-    by += [left["a"][other[later]], left["a"][longer[~later]]]
-    return left, np.concatenate(gone), np.concatenate(by)
-
-
-def _pairs(gone: np.ndarray, by: np.ndarray) -> list[np.ndarray]:
-    keep = gone != by
-    pairs = np.unique(np.stack([gone[keep], by[keep]], axis=1), axis=0)
-    return [pairs[:, 0], pairs[:, 1]]
-
-
-def _neighbourhood(buckets: int):
-    """Variants of candidates: what a task can decide itself, and blocks of what it can't."""
-
-    def emit(batches):
-        for batch in batches:
-            parts = []
-            for row in batch.to_pylist():
-                words = np.frombuffer(row["words"], dtype=np.uint64)
-                for key, value, place, kind in variants(words, row["keys"], set(row["shared"])):
-                    own = np.empty(len(value), dtype=_DTYPE)
-                    own["key"], own["value"], own["place"], own["kind"] = np.int64(key).view(np.uint64), value, place, kind
-                    own["doc"], own["line"], own["a"] = row["doc"], row["line"], np.int64(row["a"]).view(np.uint64)
-                    parts.append(own)
-            if not parts:
-                continue
-            left, gone, by = _decide(np.concatenate(parts))
-            gone, by = _pairs(gone, by)
-            bucket = (mix(left["key"] ^ left["value"]) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            blocks = [(int(b), left[order[edges[b] : edges[b + 1]]]) for b in np.flatnonzero(np.diff(edges))]
-            data = [b"".join(rows[f].tobytes() for f in _DTYPE.names) for _, rows in blocks]
-            yield pa.record_batch(
-                [pa.array([b for b, _ in blocks] + [None] * len(gone), pa.int32()), pa.array(data + [None] * len(gone), pa.binary()), pa.array([None] * len(blocks) + gone.view(np.int64).tolist(), pa.int64()), pa.array([None] * len(blocks) + by.view(np.int64).tolist(), pa.int64())],
-                names=["bucket", "data", "gone", "by"],
-            )
-
-    return emit
-
-
-def _block(data: bytes) -> np.ndarray:
-    out = np.empty(len(data) // _DTYPE.itemsize, dtype=_DTYPE)
-    at = 0
-    for f in _DTYPE.names:
-        size = len(out) * _DTYPE[f].itemsize
-        out[f] = np.frombuffer(data[at : at + size], dtype=_DTYPE[f])
-        at += size
-    return out
-
-
-def _join_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    _, gone, by = _decide(np.concatenate([_block(x.as_py()) for x in table.column("data")]))
-    gone, by = _pairs(gone, by)
-    give_back()
-    return pa.table({"gone": pa.array(gone.view(np.int64)), "by": pa.array(by.view(np.int64))})
-
-
-def near(first: np.ndarray, second: np.ndarray) -> bool:
-    """Whether two lines' words are at most one edit apart."""
-    if len(first) > len(second):
-        first, second = second, first
-    if len(second) - len(first) > 1:
+def near(first: np.ndarray, second: np.ndarray, edits: int) -> bool:
+    """Whether two lines' words are at most so many edits apart: how far each diagonal gets with 0, 1, ... edits."""
+    n, m = len(first), len(second)
+    if abs(n - m) > edits:
         return False
-    n = len(first)
-    differ = first != second[:n]
-    head = int(differ.argmax()) if differ.any() else n
-    skip = 1 if len(first) == len(second) else 0
-    return bool((first[head + skip :] == second[head + 1 :]).all())
-
-
-def _verified(batches):
-    for batch in batches:
-        good = [near(np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)) for x, y in zip(batch.column(2), batch.column(3))]
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(good, pa.bool_())], names=["a", "b", "near"])
+    stops: dict[int, np.ndarray] = {}
+
+    def slide(i: int, d: int) -> int:
+        if d not in stops:
+            low, high = max(0, -d), min(n, m - d)
+            stops[d] = np.append(np.flatnonzero(first[low:high] != second[low + d : high + d]) + low, high)
+        return int(stops[d][np.searchsorted(stops[d], i)]) if i < stops[d][-1] else i
+
+    reach = {0: slide(0, 0)}
+    for e in range(edits + 1):
+        if reach.get(m - n, -1) >= n:
+            return True
+        if e < edits:
+            new = {}
+            for d in range(-e - 1, e + 2):
+                if not -n <= d <= m:
+                    continue
+                i = max(reach.get(d, -2) + 1, reach.get(d - 1, -1), reach.get(d + 1, -2) + 1)
+                i = min(i, n, m - d)
+                if i >= max(0, -d):
+                    new[d] = slide(i, d)
+            reach = new
+    return False
+
+
+def _compared(edits: int, whole: bool):
+    """Of the lines of one part: those in a pair that the bitmaps let pass, or, with words, those near to an earlier one."""
+
+    def lines_of(cell: dict[str, np.ndarray]) -> np.ndarray:
+        n, bag, doc, line = cell["n"].astype(np.int16 if cell["n"].max() < 1 << 14 else np.int64), cell["bag"].view(np.uint64), cell["doc"], cell["line"]
+        found = np.zeros(len(n), dtype=bool)
+        for start in range(0, len(n), 256):
+            own = slice(start, start + 256)
+            upto = min(len(n), start + 256)
+            pairs = (np.bitwise_count(bag[own, None] ^ bag[None, :upto]) <= 2 * edits) & (np.abs(n[own, None] - n[None, :upto]) <= edits)
+            pairs &= np.arange(upto)[None, :] < np.arange(start, upto)[:, None]  # the earlier ones
+            later, earlier = np.nonzero(pairs)
+            if not whole:
+                found[start + later] = True
+                found[earlier] = True
+                continue
+            for x, y in zip((start + later).tolist(), earlier.tolist()):
+                if not found[x] and (doc[y], line[y]) < (doc[x], line[x]) and near(cell["words"][y], cell["words"][x], edits):
+                    found[x] = True
+        return found
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        columns = {c: table.column(c).to_numpy() for c in ("key", "cell", "a", "b", "doc", "line", "n", "bag")}
+        order = np.lexsort((columns["b"], columns["a"], columns["line"], columns["doc"], columns["cell"], columns["key"]))
+        columns = {c: x[order] for c, x in columns.items()}
+        same = lambda *names: np.logical_and.reduce([columns[c][1:] == columns[c][:-1] for c in names])
+        if len(order):
+            once = np.concatenate([[True], ~same("key", "cell", "a", "b")])
+            order, columns = order[once], {c: x[once] for c, x in columns.items()}
+        words = table.column("words").combine_chunks() if whole else None
+        edges = np.concatenate([[0], np.flatnonzero(~same("key", "cell")) + 1, [len(order)]]) if len(order) else [0]
+        found = np.zeros(len(order), dtype=bool)
+        for i, j in zip(edges, edges[1:]):
+            if j - i > 1:
+                cell = {c: x[i:j] for c, x in columns.items()}
+                if whole:
+                    cell["words"] = [np.frombuffer(words[k].as_py(), dtype=np.uint64) for k in order[i:j].tolist()]
+                found[i:j] = lines_of(cell)
+        out = np.unique(np.stack([columns["a"][found], columns["b"][found]], axis=1), axis=0)
+        give_back()
+        return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
+
+    return compare
 
 
 def _place(df: DataFrame, id_col: str) -> F.Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(_EARLIEST))
 
 
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, edits: int = EDITS) -> DataFrame:
     """(doc, line, a): the place and hash of each line with words that stays."""
     spark = docs.sparkSession
     short_batches(spark)
     own = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"))
-    rows = own.mapInArrow(tidy(_scan(min_words)), "a long, b long, doc long, line int, keys array<long>")
+    rows = own.mapInArrow(tidy(_scan(min_words, edits)), "a long, b long, doc long, line int, n int, bag long, keys array<long>")
     first = F.min(F.struct("doc", "line"))
-    lines = rows.groupBy("a", "b").agg(first.alias("at"), F.any_value("keys").alias("keys"))
-    lines = materialize(lines.select("a", "b", "at.doc", "at.line", "keys"), "lines")
-
-    exploded = lines.select(F.explode("keys").alias("key"), "a", "b")
-    twice = exploded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    halves = exploded.join(twice, "key", "left_semi").groupBy("a", "b").agg(F.collect_set("key").alias("shared"))  # four keys a line
-    candidates = materialize(lines.join(halves, ["a", "b"]), "line-candidates")
-    bits = spark.sparkContext.broadcast(bit_set(candidates, "a"))
+    lines = rows.groupBy("a", "b").agg(first.alias("at"), F.any_value("n").alias("n"), F.any_value("bag").alias("bag"), F.any_value("keys").alias("keys"))
+    lines = materialize(lines.select("a", "b", "at.doc", "at.line", "n", "bag", "keys"), "lines")
+
+    exploded = lines.select(F.posexplode("keys").alias("at", "key"), "a")
+    shared = exploded.groupBy("key").agg(F.count("*").alias("lines"), F.min("at").alias("at")).where((F.col("lines") > 1) & (F.col("at") <= edits)).select("key", F.ceil(F.col("lines") / BLOCK).cast("int").alias("blocks"))
+    held = materialize(exploded.select("key", "a").join(shared, "key").distinct(), "line-parts")
+    block = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least(x, block) * F.col("blocks") + F.greatest(x, block))
+    dealt = held.select("key", "a", F.explode(cells).alias("cell"))
+    buckets = max(8, 4 * own.rdd.getNumPartitions())
+    bucket = F.pmod(F.xxhash64("key", "cell"), F.lit(buckets)).alias("bucket")
+
+    members = dealt.join(lines.select("a", "b", "doc", "line", "n", "bag"), "a")
+    maybe = members.groupBy(bucket).applyInArrow(_compared(edits, False), "a long, b long").distinct()
+    maybe = materialize(maybe, "line-candidates")
+    bits = spark.sparkContext.broadcast(bit_set(maybe, "a"))
     words = own.select("__text").mapInArrow(tidy(_words_of(bits, min_words)), "wa long, wb long, words binary").groupBy("wa", "wb").agg(F.any_value("words").alias("words"))
-    worded = candidates.join(words, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
-    worded = materialize(worded, "line-words")
-
-    buckets = max(8, 2 * own.rdd.getNumPartitions())
-    emitted = materialize(worded.select("a", "doc", "line", "keys", "shared", "words").mapInArrow(tidy(_neighbourhood(buckets)), "bucket int, data binary, gone long, by long"), "line-variants")
-    joined = emitted.where("data is not null").groupBy("bucket").applyInArrow(_join_bucket, "gone long, by long")
-    pairs = emitted.where("gone is not null").select("gone", "by").unionByName(joined).distinct()
-    left, right = worded.select(F.col("a").alias("gone"), "a", "b", F.col("words").alias("x"), F.struct("doc", "line").alias("px")), worded.select(F.col("a").alias("by"), F.col("words").alias("y"), F.struct("doc", "line").alias("py"))
-    both = pairs.join(left, "gone").join(right, "by").where(F.col("py") < F.col("px"))
-    gone = both.select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long, near boolean").where("near").select("a", "b").distinct()
+    worded = lines.select("a", "b", "doc", "line", "n", "bag").join(maybe, ["a", "b"], "left_semi").join(words, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
+    gone = dealt.join(worded, "a").groupBy(bucket).applyInArrow(_compared(edits, True), "a long, b long").distinct()
     return lines.join(gone, ["a", "b"], "left_anti").select("doc", "line", "a")
 
 
@@ -309,9 +282,9 @@ def _rewrite(batches):
         yield pa.record_batch([*(batch.column(c) for c in range(2, batch.num_columns)), pa.array(out, pa.string()), pa.array(n_lines), pa.array(n_removed)], names=[*batch.schema.names[2:], "text", "n_lines", "n_removed"])
 
 
-def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, edits: int = EDITS) -> DataFrame:
     """keep's columns of every document with its remaining text, n_lines it had and n_removed of them."""
-    kept = kept_lines(docs, id_col, text_col, min_words).groupBy(F.col("doc").alias("__of")).agg(F.collect_list(F.struct("line", "a")).alias("__kept"))  # the lines of one document
+    kept = kept_lines(docs, id_col, text_col, min_words, edits).groupBy(F.col("doc").alias("__of")).agg(F.collect_list(F.struct("line", "a")).alias("__kept"))  # the lines of one document
     rows = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
     joined = rows.join(kept.hint("shuffle_hash"), F.col("__doc") == F.col("__of"), "left").select("__text", "__kept", *[f"__k{i}" for i in range(len(keep))])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[2:]), "text string, n_lines long, n_removed long"])
@@ -319,7 +292,7 @@ def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: st
     return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], F.col("text").alias("kept_text"), "n_lines", "n_removed")
 
 
-def digests(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def digests(docs: DataFrame, min_words: int = MIN_WORDS, edits: int = EDITS) -> DataFrame:
     """op4: per document the number of lines, of removed ones, and the hash of what stays; a null text gives null."""
-    out = dedup(docs, ["doc_id"], min_words=min_words)
+    out = dedup(docs, ["doc_id"], min_words=min_words, edits=edits)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
