@@ -204,7 +204,7 @@ def text_normalise(spark, d):
 
 def _pairs(spark, d) -> DataFrame:
     c = table(spark, d, "conversations")
-    line = F.substring(F.trim(F.regexp_replace(F.regexp_replace(F.lower("text"), "[^a-z ]", ""), " +", " ")), 1, 60)
+    line = F.trim(F.regexp_replace(F.regexp_replace(F.lower("text"), "[^a-z ]", ""), " +", " "))
     w = Window.partitionBy("conv_id").orderBy("turn")
     return c.select("conv_id", "turn", line.alias("hypothesis"), F.lag(line).over(w).alias("reference")).where("reference is not null")
 
