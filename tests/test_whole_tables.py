@@ -36,3 +36,12 @@ def test_error_rates_are_of_whole_texts(spark, tables, name, split):
             a, b = (split(re.sub(" +", " ", re.sub("[^a-z ]", "", t.lower())).strip()) for t in (x, y))
             want[d, turn] = round(distance(a, b) / max(1, len(a)), 6)
     assert {(r[0], r[1]): r[2] for r in __spark_entry__.queries()[name](spark, path).collect()} == want
+
+
+def test_timed_text_has_all_turns(spark, tables):
+    got = {r["rec"]: (r["n"], r["first"], r["last"]) for r in __spark_entry__.queries()["timed_text"](spark, tables[0]).collect()}
+    assert got == {1: (sum(len(t.split()) for c, _, t in tables[1] if c == 1), 0.5, 24.5), 2: (3, 32.5, 32.5)}
+
+
+def test_shard_list_has_all_orders(spark, tables):
+    assert __spark_entry__.queries()["shard_list"](spark, tables[0]).count() == 22

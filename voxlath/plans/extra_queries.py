@@ -64,7 +64,7 @@ def encoded_bigrams(spark, d):
 
 
 def shard_list(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 7 = 0")
+    o = table(spark, d, "orders")
     name = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("D:\\data\\"), F.col("o_orderkey").cast("string"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("/data/"), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string"))
     lines = o.select(F.concat_ws(" ", F.concat(name, F.lit(".tar")), F.concat(name, F.lit(".lst")), (F.col("o_custkey") % 100).cast("string"), (F.col("o_custkey") % 7).cast("string")).alias("value"))
     return manifests.shard_list(lines, "/base/")
@@ -108,7 +108,7 @@ def cue_blocks(spark, d):
 
 def timed_text(spark, d):
     """Timed-text JSON made of conversations, parsed back."""
-    c = table(spark, d, "conversations").where("turn < 3")
+    c = table(spark, d, "conversations")
     event = F.struct((F.col("turn") * 8000).alias("tStartMs"), F.lit(4000).cast("long").alias("dDurationMs"), F.array(F.struct(F.col("text").alias("utf8"), F.lit(500).cast("long").alias("tOffsetMs"))).alias("segs"))
     files = c.groupBy(F.col("conv_id").alias("rec")).agg(F.to_json(F.struct(F.array_sort(F.collect_list(event)).alias("events"))).alias("text"))
     return transcripts.word_times(transcripts.timed_text_words(files)).groupBy("rec").agg(F.count("*").alias("n"), F.round(F.min("start"), 3).alias("first"), F.round(F.max("start"), 3).alias("last"))
