@@ -1,7 +1,7 @@
 """Token-ID output: documents packed into rows of a fixed length.
 
-Ids are a text's UTF-8 bytes from 3 on, with an end mark after each document; other ids can be
-given as an array column.  A document longer than a row is split into pieces, all but the last
+Ids are given as an array column, as the query does with token ids, or are a text's UTF-8 bytes
+from 3 on, with an end mark after each document.  A document longer than a row is split into pieces, all but the last
 as long as a row.  The pieces of a group of documents, whole ones and remainders, are packed by
 best fit decreasing: a segment tree over remaining capacities finds the fullest row that a piece
 still fits into.  A group is what a task has read up to a bounded number of ids, so packing needs
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import chunked_bpe
 from .common import fresh_path, short_batches, tidy
 from .hashing import string_buffers
 
@@ -114,7 +115,7 @@ def _packer(length: int, group_ids: int, texts: bool):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                ids = byte_ids(part.column(0)) if texts else [np.array(x.as_py() or [], dtype=np.uint32) for x in part.column(0)]
+                ids = byte_ids(part.column(0)) if texts else [x.values.to_numpy(zero_copy_only=False).astype(np.uint32) if x.is_valid else np.zeros(0, dtype=np.uint32) for x in part.column(0)]
                 kind = part.column(2).type
                 for own, name in zip(ids, zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
                     held.append(own), names.append(name)
@@ -140,32 +141,37 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids_co
     return own.mapInArrow(tidy(_packer(length, group_ids, ids_col is None)), _SCHEMA.format(own.schema["__id"].dataType.simpleString()))
 
 
-def _pieces(batches):
-    """Every segment's text bytes back from the packed ids."""
-    for batch in batches:
-        segments = batch.column(2)
-        flat = segments.flatten()
-        n, sha = [], []
-        for ids, edges in zip(batch.column(0), batch.column(1).to_pylist()):
-            data = np.frombuffer(ids.as_buffer(), dtype="<u2")
-            for a, b in zip(edges, edges[1:]):
-                own = data[a:b]
-                n.append(b - a)
-                sha.append(hashlib.sha256((own[own >= FIRST] - FIRST).astype(np.uint8).tobytes()).hexdigest())
-        yield pa.record_batch([flat.field("row_id"), flat.field("id"), flat.field("piece"), pa.array(n, pa.int64()), pa.array(sha)], names=["row_id", "doc_id", "piece", "n", "sha"])
+def _pieces(length: int):
+    """Every segment's ids back from the packed rows, as 32-bit integers."""
+
+    def run(batches):
+        for batch in batches:
+            segments = batch.column(2)
+            flat = segments.flatten()
+            n, sha = [], []
+            for ids, edges in zip(batch.column(0), batch.column(1).to_pylist()):
+                buffer = ids.as_buffer()
+                data = np.frombuffer(buffer, dtype="<u2" if buffer.size == 2 * length else "<u4")
+                for a, b in zip(edges, edges[1:]):
+                    n.append(b - a)
+                    sha.append(hashlib.sha256(data[a:b].astype("<u4").tobytes()).hexdigest())
+            yield pa.record_batch([flat.field("row_id"), flat.field("id"), flat.field("piece"), pa.array(n, pa.int64()), pa.array(sha)], names=["row_id", "doc_id", "piece", "n", "sha"])
+
+    return run
 
 
 def written(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """op10: every document as it stands in the packed rows: ids, pieces, and the hash of its pieces' hashes.
+    """op10: every document as it stands in the packed rows: token ids, pieces, and the hash of its pieces' hashes.
 
-    The rows are written to the shared folder as compressed Parquet and read again.
+    Ids are those of the tokenizer that op8 encodes with, with its end-of-text token after each document.  The rows are written to the shared folder as compressed Parquet and read again.
     """
     spark = docs.sparkSession
     path = fresh_path(spark, "packed")
-    pack(docs, length=length).write.option("compression", "zstd").parquet(path)
+    tokens = chunked_bpe.encode(docs, ["doc_id"]).select("doc_id", F.concat("ids", F.array(F.lit(chunked_bpe.SPECIAL_ID))).alias("ids"))
+    pack(tokens, ids_col="ids", length=length).write.option("compression", "zstd").parquet(path)
     back = spark.read.parquet(path).select("ids", "cu_seqlens", "segments")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pieces = back.mapInArrow(tidy(_pieces), f"row_id long, doc_id {kind}, piece int, n long, sha string")
+    pieces = back.mapInArrow(tidy(_pieces(length)), f"row_id long, doc_id {kind}, piece int, n long, sha string")
     whole = pieces.groupBy("row_id", "doc_id").agg(F.sum("n").alias("n_ids"), F.count("*").alias("n_pieces"), F.array_sort(F.collect_list(F.struct("piece", "sha"))).alias("p"))  # the pieces of one document
     return whole.select("doc_id", "n_ids", "n_pieces", F.sha2(F.array_join(F.col("p.sha"), ","), 256).alias("pieces_sha256"))
 
