@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -42,17 +43,19 @@ def brute(train, order):
         for g, v in grams[k].items():
             follow[k][g[:-1]].append(v)
 
+    sums = [None] + [{context: (sum(own), sum(cut[k][min(v, 3) - 1] for v in own)) for context, own in follow[k].items()} for k in range(1, order + 1)]
+
+    @functools.lru_cache(maxsize=None)
     def p(gram):
         k = len(gram)
         if k == 0:
             return 1 / (len(raw) + 1)
-        own = follow[k].get(gram[:-1])
-        if not own:
+        if gram[:-1] not in sums[k]:
             return p(gram[1:])
-        d = cut[k]
+        total, cuts = sums[k][gram[:-1]]
         c = grams[k].get(gram, 0)
-        less = max(c - ([0, *d][min(c, 3)]), 0)
-        return (less + sum(d[min(v, 3) - 1] for v in own) * p(gram[1:])) / sum(own)
+        less = max(c - ([0, *cut[k]][min(c, 3)]), 0)
+        return (less + cuts * p(gram[1:])) / total
 
     return p, raw
 

@@ -33,6 +33,8 @@ BEGIN = mix(np.array([11], dtype=np.uint64))[0]
 END = mix(np.array([12], dtype=np.uint64))[0]
 #: Tokens that a counting task holds before it passes on what it has summed.
 FLUSH = 1_000_000
+#: Parts of a level for each partition of the input.
+PARTS = 4
 _BLOCK = "level int, bucket int, data binary"
 
 
@@ -116,7 +118,7 @@ def _counter(order: int, buckets: int):
 
         def flush():
             columns, sums = _summed([np.concatenate([h[k] for h in held]) for k in range(order)], [np.ones(n, dtype=np.int64)])
-            return _batch(_blocks(order, columns, sums * 2, buckets))
+            return _batch(_blocks(order, columns, sums, buckets))
 
         for batch in batches:
             for _, _, tokens, at in _tokens(batch.column(0), order):
@@ -159,15 +161,22 @@ def _small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a.astype(np.uint8)
 
 
-def _merger(level: int, buckets: int, path: str):
-    """Sums a bucket, writes its arrays, returns its statistics and the blocks of the level below."""
+def _merger(level: int, buckets: int, path: str, top: bool):
+    """Sums a bucket, writes its arrays, returns its statistics and the blocks of the level below.
+
+    Blocks of the top level have one sum, as an n-gram's count is how often it occurs; below, the
+    continuation count and the occurrences are two.
+    """
+    width = level + (1 if top else 2)
 
     def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        parts = [np.frombuffer(x.as_py(), dtype=np.uint64).reshape(level + 2, -1) for x in table.column("data")]
+        parts = [np.frombuffer(x.as_py(), dtype=np.uint64).reshape(width, -1) for x in table.column("data")]
         whole = np.concatenate(parts, axis=1)
         del parts
-        columns, (count, raw) = _summed(list(whole[:level]), [whole[level].astype(np.int64), whole[level + 1].astype(np.int64)])
+        columns, sums = _summed(list(whole[:level]), [s.astype(np.int64) for s in whole[level:]])
+        count, raw = sums[0], sums[-1]
+        del whole
         arrays = {"hash": _hash(columns), "count": _small(count)}
         if level == 1:
             arrays["raw"] = _small(raw)
@@ -202,22 +211,22 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
 def train(texts: DataFrame, text_col: str = "text", order: int = 3, buckets: int | None = None) -> LanguageModel:
     """Count all texts and store the model in the shared folder.
 
-    buckets: parts of each level; by default as many as the input has partitions, so that a
-    part stays as bounded as an input partition is.
+    buckets: parts of each level; by default PARTS for each partition of the input, so that a
+    part stays bounded as an input partition is.
     """
     if order < 1:
         raise ValueError("order must be 1 or more")
     spark = texts.sparkSession
     common.short_batches(spark)
     texts = texts.select(F.col(text_col).cast("string"))
-    buckets = buckets or max(8, texts.rdd.getNumPartitions())
+    buckets = buckets or max(8, PARTS * texts.rdd.getNumPartitions())
     path = common.fresh_path(spark, "lm")
     if (local := common.local_path(path)) is not None:
         os.makedirs(local, exist_ok=True)
     blocks = texts.mapInArrow(common.tidy(_counter(order, buckets)), _BLOCK)
     stats = {}
     for level in range(order, 0, -1):
-        made = common.materialize(blocks.where(F.col("level") == level).groupBy("bucket").applyInArrow(_merger(level, buckets, path), _BLOCK), f"lm-level{level}")
+        made = common.materialize(blocks.where(F.col("level") == level).groupBy("bucket").applyInArrow(_merger(level, buckets, path, level == order), _BLOCK), f"lm-level{level}")
         found = {"n": [0] * 4, "more": 0, "total": 0, "raw": 0, "distinct": 0}
         for row in made.where(F.col("level") == -level).toLocalIterator():  # one small row for each bucket
             s = json.loads(bytes(row["data"]))
@@ -324,7 +333,7 @@ def score(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: str
     return held.mapInArrow(common.tidy(_scorer(model)), schema)
 
 
-def score_held_out(docs: DataFrame, order: int = 2) -> DataFrame:
+def score_held_out(docs: DataFrame, order: int = 3) -> DataFrame:
     """op1: every document, scored by a model of those outside fold 1."""
     docs = docs.select("doc_id", "text", F.coalesce(common.fold() == 1, F.lit(False)).alias("held_out"))
     model = train(docs.where(~F.col("held_out")), order=order)
