@@ -22,22 +22,23 @@ def words(text):
 
 
 def near(a, b):
-    if abs(len(a) - len(b)) > 1:
+    if abs(len(a) - len(b)) > line_dedup.EDITS:
         return False
     row = list(range(len(b) + 1))
     for x in a:
         before, row = row, [row[0] + 1]
         for j, y in enumerate(b):
             row.append(min(before[j + 1] + 1, row[j] + 1, before[j] + (x != y)))
-    return row[-1] <= 1
+    return row[-1] <= line_dedup.EDITS
 
 
 def plain_line_dedup(rows, least):
+    """Lines go that are equal to an earlier one with words, or near to one if both have least words or more."""
     lines = sorted(((-(10**18) if i is None else i), k, x) for i, t in rows if t is not None for k, x in enumerate(t.split("\n")))
     gone = set()
     for n, (i, k, x) in enumerate(lines):
         w = words(x)
-        if len(w) >= least and any((j, m) != (i, k) and len(words(y)) >= least and near(w, words(y)) for j, m, y in lines[:n]):
+        if w and any((j, m) != (i, k) and (w == words(y) or min(len(w), len(words(y))) >= least and near(w, words(y))) for j, m, y in lines[:n]):
             gone.add((i, k))
     return [(i, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if ((-(10**18) if i is None else i), k) not in gone)) for i, t in rows]
 

@@ -5,11 +5,19 @@ insertions, deletions or substitutions of a word apart.  A line goes if an equal
 earlier, in the order of (order of the document, line number); so the earliest always stays.
 Lines of fewer than `min_words` words go only for an equal one; lines without words always stay.
 
-Equal lines are first summed to one row with their earliest place.  Of two near lines the shorter
-one, cut into edits + 1 parts, has a part that stands whole in the longer one, at one of few places
-that the lengths fix; only lines that share such a part go on.  Lines with one part are compared
-first by a word bitmap, in which an edit changes at most two bits, and by their words only where
-that lets a pair pass.  A part that very many lines have is dealt to tasks by pairs of blocks.
+Equal lines are first summed to one row with their earliest place.  Near ones are found by a
+deletion-neighbourhood join: lines emit hashed variants with words deleted, lines with an equal
+variant are verified by their edit distance.  All variants within the bound would be quadratic in a
+line's words, so the bound is split first: of the parts of the shorter line one has at most one
+edit, and the variants are that part's, with one word deleted or none, at all places where it may
+stand in the longer line.
+
+What can't have a partner emits no variants.  Of two near lines the shorter one, cut into edits + 1
+parts, also has a part that stands whole in the longer one, at one of few places that the lengths
+fix; lines that share such a part with no other are out, and so are those whose word bitmap, in
+which an edit changes at most two bits, differs too much from all with the same part.  The variants
+of the others are joined in the tasks that the shared parts deal them to; a part that very many
+lines have is dealt by pairs of blocks.
 
 Null texts stay null and have no lines; empty ones have one empty line.  A null document id is
 the earliest, and all rows with the same id and place are one place, so that repeated rows are
@@ -184,47 +192,124 @@ def near(first: np.ndarray, second: np.ndarray, edits: int) -> bool:
     return False
 
 
-def _compared(edits: int, whole: bool):
-    """Of the lines of one part: those in a pair that the bitmaps let pass, or, with words, those near to an earlier one."""
+def _spans(n: np.ndarray, edits: int):
+    """Word spans of lines of n words that take part in the join, as (whose, part, length of the shorter line, first, last, with the span itself, with a word deleted).
 
-    def lines_of(cell: dict[str, np.ndarray]) -> np.ndarray:
-        n, bag, doc, line = cell["n"].astype(np.int16 if cell["n"].max() < 1 << 14 else np.int64), cell["bag"].view(np.uint64), cell["doc"], cell["line"]
+    The shorter of two near lines, cut into edits // 2 + 1 parts, has one with at most one edit.
+    Lines give their own parts, and what would stand there in a line longer by up to edits words:
+    moved by as many words as the edits before it allow, and a word longer or shorter.
+    """
+    parts = edits // 2 + 1
+    for fewer in range(edits + 1):
+        m = n - fewer
+        for part in range(parts):
+            at, to = m * part // parts, m * (part + 1) // parts
+            for shift in range(-edits, edits + 1):
+                for change in (-1, 0, 1):
+                    before, after = abs(shift), abs(fewer - shift - change)
+                    if before + after + abs(change) > edits or part == 0 and shift or part == parts - 1 and after:
+                        continue
+                    whose = np.flatnonzero((m > 0) & (at + shift >= 0) & (to + shift + change <= n) & (to + change >= at))
+                    yield whose, part, m[whose], at[whose] + shift, to[whose] + shift + change, change <= 0, change >= 0
+
+
+def variants(flat: np.ndarray, starts: np.ndarray, n: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key): hashed deletion variants of lines given as words flat[starts : starts + n]; near lines share one."""
+    sums, power = _sums(flat, _P), _power(_INVERSE[_P], len(flat) + 1)
+    step = power[1]
+    lines, keys = [], []
+    for whose, part, shorter, first, last, with_all, with_less in _spans(n, edits):
+        tag = mix((shorter * (edits + 1) + part).astype(np.uint64) + np.uint64(edits))
+        a, b = starts[whose] + first, starts[whose] + last
+        if with_all:
+            lines.append(whose), keys.append(mix((sums[b] - sums[a]) * power[a] + (b - a).astype(np.uint64)) ^ tag)
+        if with_less:
+            size = b - a
+            own = np.repeat(np.arange(len(whose)), size)
+            gone = a[own] + np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)  # the deleted word's place
+            rest = (sums[gone] - sums[a[own]]) + (sums[b[own]] - sums[gone + 1]) * step
+            lines.append(whose[own]), keys.append(mix(rest * power[a[own]] + (size[own] - 1).astype(np.uint64)) ^ tag[own])
+    return np.concatenate(lines), np.concatenate(keys)
+
+
+def near_earlier(words: list[np.ndarray], edits: int) -> np.ndarray:
+    """Which of the lines, the earliest first, are near to an earlier one: equal variants join them, the edit distance decides."""
+    n = np.array([len(w) for w in words], dtype=np.int64)
+    found = np.zeros(len(words), dtype=bool)
+    line, key = variants(np.concatenate(words), np.cumsum(n) - n, n, edits)
+    order = np.lexsort((line, key))
+    line, key = line[order], key[order]
+    once = np.concatenate([[True], (np.diff(line) != 0) | (np.diff(key) != 0)])
+    line, key = line[once], key[once]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+    shared = np.flatnonzero(np.diff(edges) > 1)
+    tried: set[tuple[int, int]] = set()
+    for i, j in zip(edges[shared].tolist(), edges[shared + 1].tolist()):
+        group = line[i:j].tolist()
+        for k in range(1, len(group)):
+            x = group[k]
+            for y in group[:k] if not found[x] else ():
+                if (x, y) not in tried:
+                    tried.add((x, y))
+                    if near(words[y], words[x], edits):
+                        found[x] = True
+                        break
+    return found
+
+
+def _ordered(table: pa.Table, names: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """A table's rows by names, each once, and the columns of those."""
+    columns = {c: table.column(c).to_numpy() for c in names}
+    order = np.lexsort([columns[c] for c in reversed(names)])
+    columns = {c: x[order] for c, x in columns.items()}
+    if len(order):
+        once = np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in columns.values()])])
+        order, columns = order[once], {c: x[once] for c, x in columns.items()}
+    return order, columns
+
+
+def _marked(a: np.ndarray, b: np.ndarray, found: np.ndarray) -> pa.Table:
+    out = np.unique(np.stack([a[found], b[found]], axis=1), axis=0)
+    give_back()
+    return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
+
+
+def _maybe(edits: int):
+    """Of the lines of one part, those whose bitmaps and lengths let a pair be near."""
+
+    def lines_of(n: np.ndarray, bag: np.ndarray) -> np.ndarray:
+        n = n.astype(np.int16 if n.max() < 1 << 14 else np.int64)
         found = np.zeros(len(n), dtype=bool)
         for start in range(0, len(n), 256):
-            own = slice(start, start + 256)
             upto = min(len(n), start + 256)
+            own = slice(start, upto)
             pairs = (np.bitwise_count(bag[own, None] ^ bag[None, :upto]) <= 2 * edits) & (np.abs(n[own, None] - n[None, :upto]) <= edits)
-            pairs &= np.arange(upto)[None, :] < np.arange(start, upto)[:, None]  # the earlier ones
-            later, earlier = np.nonzero(pairs)
-            if not whole:
-                found[start + later] = True
-                found[earlier] = True
-                continue
-            for x, y in zip((start + later).tolist(), earlier.tolist()):
-                if not found[x] and (doc[y], line[y]) < (doc[x], line[x]) and near(cell["words"][y], cell["words"][x], edits):
-                    found[x] = True
+            pairs &= np.arange(upto)[None, :] < np.arange(start, upto)[:, None]
+            found[own] |= pairs.any(axis=1)
+            found[:upto] |= pairs.any(axis=0)
         return found
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        columns = {c: table.column(c).to_numpy() for c in ("key", "cell", "a", "b", "doc", "line", "n", "bag")}
-        order = np.lexsort((columns["b"], columns["a"], columns["line"], columns["doc"], columns["cell"], columns["key"]))
-        columns = {c: x[order] for c, x in columns.items()}
-        same = lambda *names: np.logical_and.reduce([columns[c][1:] == columns[c][:-1] for c in names])
-        if len(order):
-            once = np.concatenate([[True], ~same("key", "cell", "a", "b")])
-            order, columns = order[once], {c: x[once] for c, x in columns.items()}
-        words = table.column("words").combine_chunks() if whole else None
-        edges = np.concatenate([[0], np.flatnonzero(~same("key", "cell")) + 1, [len(order)]]) if len(order) else [0]
-        found = np.zeros(len(order), dtype=bool)
-        for i, j in zip(edges, edges[1:]):
+        _, columns = _ordered(table, ["key", "cell", "a", "b", "n", "bag"])
+        edges = np.concatenate([[0], np.flatnonzero((np.diff(columns["key"]) != 0) | (np.diff(columns["cell"]) != 0)) + 1, [len(columns["key"])]])
+        found = np.zeros(len(columns["key"]), dtype=bool)
+        for i, j in zip(edges.tolist(), edges[1:].tolist()):
             if j - i > 1:
-                cell = {c: x[i:j] for c, x in columns.items()}
-                if whole:
-                    cell["words"] = [np.frombuffer(words[k].as_py(), dtype=np.uint64) for k in order[i:j].tolist()]
-                found[i:j] = lines_of(cell)
-        out = np.unique(np.stack([columns["a"][found], columns["b"][found]], axis=1), axis=0)
-        give_back()
-        return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
+                found[i:j] = lines_of(columns["n"][i:j], columns["bag"][i:j].view(np.uint64))
+        return _marked(columns["a"], columns["b"], found)
+
+    return compare
+
+
+def _near(edits: int):
+    """Lines that are near to an earlier one of the same bucket."""
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        order, columns = _ordered(table, ["doc", "line", "a", "b"])
+        blobs = table.column("words").combine_chunks()
+        words = [np.frombuffer(blobs[k].as_py(), dtype=np.uint64) for k in order.tolist()]
+        found = near_earlier(words, edits) if len(words) > 1 else np.zeros(len(words), dtype=bool)
+        return _marked(columns["a"], columns["b"], found)
 
     return compare
 
@@ -253,12 +338,12 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bucket = F.pmod(F.xxhash64("key", "cell"), F.lit(buckets)).alias("bucket")
 
     members = dealt.join(lines.select("a", "b", "doc", "line", "n", "bag"), "a")
-    maybe = members.groupBy(bucket).applyInArrow(_compared(edits, False), "a long, b long").distinct()
+    maybe = members.groupBy(bucket).applyInArrow(_maybe(edits), "a long, b long").distinct()
     maybe = materialize(maybe, "line-candidates")
     bits = spark.sparkContext.broadcast(bit_set(maybe, "a"))
     words = own.select("__text").mapInArrow(tidy(_words_of(bits, min_words)), "wa long, wb long, words binary").groupBy("wa", "wb").agg(F.any_value("words").alias("words"))
     worded = lines.select("a", "b", "doc", "line", "n", "bag").join(maybe, ["a", "b"], "left_semi").join(words, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
-    gone = dealt.join(worded, "a").groupBy(bucket).applyInArrow(_compared(edits, True), "a long, b long").distinct()
+    gone = dealt.join(worded, "a").groupBy(bucket).applyInArrow(_near(edits), "a long, b long").distinct()
     return lines.join(gone, ["a", "b"], "left_anti").select("doc", "line", "a")
 
 

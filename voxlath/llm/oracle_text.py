@@ -2,6 +2,9 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Edits at the two ends of what differs between two lines: words that the first and the second line have more there.
+_ENDS = " OR ".join(f"x[p + 1 + {a} : n - q - {c}] = y[p + 1 + {b} : m - q - {d}]" for a, b in ((1, 1), (1, 0), (0, 1)) for c, d in ((1, 1), (1, 0), (0, 1)))
+
 LINES = rf"""
 WITH d AS (
   SELECT doc_id, text, coalesce(doc_id, -9223372036854775808) AS o, string_split(text, chr(10)) AS ls FROM documents
@@ -9,19 +12,19 @@ WITH d AS (
   SELECT o, k, ls[k] AS line FROM (SELECT o, ls, unnest(range(1, len(ls) + 1)) AS k FROM d)
 ), w AS (
   SELECT o, k, array_to_string(w, ' ') AS s, w, len(w) AS n FROM (
-    SELECT o, k, list_filter(string_split_regex({_LOWER.replace('text', 'line')}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM l) WHERE len(w) >= 8
+    SELECT o, k, list_filter(string_split_regex({_LOWER.replace('text', 'line')}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM l) WHERE len(w) > 0
 ), firsts AS (
   SELECT s, any_value(w) AS w, any_value(n) AS n, min({{'o': o, 'k': k}}) AS place FROM w GROUP BY s
-), cut AS (
-  SELECT s, n, place, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS v FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM firsts)
-), subst AS (
-  SELECT s, min(place) OVER (PARTITION BY n, p, v) AS other FROM cut
-), gap AS (
-  SELECT cut.s AS longer, cut.place AS a, f.s AS shorter, f.place AS b FROM cut JOIN firsts f ON f.s = cut.v
-), others AS (
-  SELECT * FROM subst UNION ALL SELECT longer, b FROM gap UNION ALL SELECT shorter, a FROM gap
+), pairs AS (
+  SELECT a.s, a.w AS x, a.n, b.w AS y, b.n AS m FROM firsts a JOIN firsts b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND b.place < a.place WHERE a.n >= 8 AND b.n >= 8
+), same AS (
+  SELECT *, coalesce(list_position(list_transform(range(1, least(n, m) + 1), lambda i: x[i] = y[i]), false) - 1, least(n, m)) AS p FROM pairs
+), ends AS (
+  SELECT *, coalesce(list_position(list_transform(range(0, least(n, m) - p), lambda i: x[n - i] = y[m - i]), false) - 1, least(n, m) - p) AS q FROM same
+), gone AS (
+  SELECT DISTINCT s FROM ends WHERE greatest(n, m) - p - q <= 2 OR {_ENDS}
 ), kept AS (
-  SELECT place.o AS o, place.k AS k, s FROM firsts WHERE NOT EXISTS (SELECT 1 FROM others WHERE others.s = firsts.s AND others.other < firsts.place)
+  SELECT place.o AS o, place.k AS k, s FROM firsts WHERE s NOT IN (SELECT s FROM gone)
 ), marked AS (
   SELECT l.o, l.k, l.line, w.s IS NULL OR kept.s IS NOT NULL AS stays FROM l LEFT JOIN w ON w.o = l.o AND w.k = l.k LEFT JOIN kept ON kept.o = l.o AND kept.k = l.k AND kept.s = w.s
 ), g AS (
