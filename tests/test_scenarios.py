@@ -38,15 +38,16 @@ def test_isolated_detection_in_a_pause_is_padded_and_smear_is_not(spark):
     assert smeared == {14, 15, 16, 17, 18, 19}
 
 
-def test_long_pieces_split_at_the_longest_gap():
-    assert segments.split_long((0, 10), [], 20, 2) == [(0, 10)]
-    assert segments.split_long((0, 50), [], 20, 2) == []
-    assert segments.split_long((0, 30), [(10, 14), (20, 23)], 20, 2) == [(0, 10), (14, 30)]
-    assert segments.split_long((0, 30), [(10, 13), (20, 23)], 20, 2) == [(0, 20), (23, 30)]
+def test_long_pieces_split_at_the_longest_gap(spark):
+    spans = [(0, 10, []), (1, 50, []), (2, 30, [(10, 14), (20, 23)]), (3, 30, [(10, 13), (20, 23)]), (4, 60, [(1, 9), (20, 26), (40, 45)])]
+    rows = spark.createDataFrame([(i, 0, end, gaps) for i, end, gaps in spans], "i int, start long, end long, gaps array<struct<start: long, end: long>>")
+    got = segments.split_long_spans(rows, ["i"], 20, 2).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 0, 10), (2, 0, 10), (2, 14, 30), (3, 0, 20), (3, 23, 30), (4, 0, 1), (4, 9, 20), (4, 26, 40), (4, 45, 60)]
 
 
 def test_matching_is_optimal_before_the_threshold(spark):
-    assert assignment.best_matching({(0, 0): 5.0, (0, 1): 4.0, (1, 0): 4.5, (1, 1): 0.1}, [0, 1], [0, 1]) == [(0, 1), (1, 0)]
+    crossed = spark.createDataFrame([("r", 0, 0, 0, 5.0), ("r", 0, 0, 1, 4.0), ("r", 0, 1, 0, 4.5), ("r", 0, 1, 1, 0.1), ("r", 1, 7, 3, 1.0), ("r", 1, 7, 5, 2.0)], "rec string, w long, l long, k long, score double")
+    assert sorted(tuple(r) for r in assignment.assign(crossed).collect()) == [("r", 0, 0, 1), ("r", 0, 1, 0), ("r", 1, 7, 5)]
     rows = spark.createDataFrame([("r", 0, 0, 0, 5.0), ("r", 0, 0, 1, 0.2), ("r", 0, 1, 0, 4.0), ("r", 0, 1, 1, 0.4)], "rec string, w long, l long, k long, score double")
     assert [(r["l"], r["k"]) for r in assignment.assign(rows).collect()] == [(0, 0)]
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from itertools import permutations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,33 +14,42 @@ LEAST_SHARED = 0.5
 def co_activity(local: DataFrame, speakers: DataFrame) -> DataFrame:
     """(rec, w, l, k, score): sums of the product of activities over a window's frames.
 
-    local: (rec, w, t, l, p); speakers: (rec, t, k, p), on one grid of frames.
+    local: (rec, w, t, l, p); speakers: (rec, t, k, p), on one grid of frames.  Products are summed
+    as decimals, so that a score doesn't depend on the order in which tasks deliver them.
     """
     other = speakers.withColumnRenamed("p", "q")
-    return local.join(other, ["rec", "t"]).groupBy("rec", "w", "l", "k").agg(F.sum(F.col("p") * F.col("q")).alias("score"))
+    return local.join(other, ["rec", "t"]).groupBy("rec", "w", "l", "k").agg(F.sum((F.col("p") * F.col("q")).cast("decimal(20,12)")).cast("double").alias("score"))
 
 
-def best_matching(scores: dict[tuple[int, int], float], left: list[int], right: list[int]) -> list[tuple[int, int]]:
-    """The pairs of a maximum-weight matching that uses all of the smaller side; few enough to try all."""
-    if len(left) > len(right):
-        return [(a, b) for b, a in best_matching({(b, a): s for (a, b), s in scores.items()}, right, left)]
-    ways = ([*zip(left, p)] for p in permutations(right, len(left)))
-    return max(ways, key=lambda w: (sum(scores.get(x, 0.0) for x in w), [-b for _, b in w]), default=[])
+def _ways(n: int, m: int) -> list[list[tuple[int, int]]]:
+    """All matchings of n with m places that use all of the smaller side."""
+    if n > m:
+        return [[(a, b) for b, a in way] for way in _ways(m, n)]
+    return [list(enumerate(other)) for other in permutations(range(m), n)]
 
 
-def assign(scores: DataFrame, least: float = LEAST_SHARED) -> DataFrame:
+def assign(scores: DataFrame, least: float = LEAST_SHARED, most: int = 6) -> DataFrame:
     """(rec, w, l, k): each window's best matching; then pairs with no more than least shared activity go.
 
-    A window has a handful of speakers, so a group is a few rows.
+    A window has a handful of speakers: its scores are one row, and the matchings of n with m
+    speakers, n and m up to `most`, are tried in the order of their right sides, the first of equals
+    standing.  More speakers of a window than that are an error.
     """
-
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = {(int(a), int(b)): float(s) for a, b, s in zip(pdf["l"], pdf["k"], pdf["score"])}
-        pairs = [x for x in best_matching(table, sorted({a for a, _ in table}), sorted({b for _, b in table})) if table.get(x, 0.0) > least]
-        return pd.DataFrame({"rec": pdf["rec"].iloc[0], "w": pdf["w"].iloc[0], "l": [a for a, _ in pairs], "k": [b for _, b in pairs]}).astype({"l": "int64", "k": "int64"})
-
-    kinds = {f.name: f.dataType.simpleString() for f in scores.schema}
-    return scores.groupBy("rec", "w").applyInPandas(match, f"rec {kinds['rec']}, w {kinds['w']}, l long, k long")
+    side = lambda c: F.array_sort(F.collect_set(c))
+    windows = scores.groupBy("rec", "w").agg(side("l").alias("ls"), side("k").alias("ks"), F.map_from_entries(F.collect_list(F.struct(F.struct("l", "k"), "score"))).alias("s"))
+    none = F.expr("cast(array() as array<array<struct<a:int,b:int>>>)")
+    value = lambda p: F.coalesce(F.try_element_at("s", F.struct(F.get("ls", p["a"]).alias("l"), F.get("ks", p["b"]).alias("k"))), F.lit(0.0))
+    sizes = {(r["n"], r["m"]) for r in windows.select(F.size("ls").alias("n"), F.size("ks").alias("m")).distinct().limit(most * most + 1).collect()}  # few pairs of numbers
+    if any(max(size) > most for size in sizes):
+        raise ValueError(f"a window has more than {most} speakers")
+    ways = none
+    for n, m in sorted(sizes):
+        table = "array(" + ",".join("array(" + ",".join(f"named_struct('a',{a},'b',{b})" for a, b in sorted(way)) + ")" for way in _ways(n, m)) + ")"
+        ways = F.when((F.size("ls") == n) & (F.size("ks") == m), F.expr(table)).otherwise(ways)
+    total = lambda way: F.aggregate(way, F.lit(0.0), lambda t, p: t + value(p))
+    best = F.array_max(F.transform(ways, lambda way, i: F.struct(total(way).alias("t"), (-i).alias("i"), way.alias("way"))))["way"]
+    pairs = windows.select("rec", "w", "ls", "ks", "s", F.explode(best).alias("p")).withColumn("score", value(F.col("p")))
+    return pairs.where(F.col("score") > least).select("rec", "w", F.get("ls", F.col("p.a")).alias("l"), F.get("ks", F.col("p.b")).alias("k"))
 
 
 def others_of(local: DataFrame, matched: DataFrame, speakers: DataFrame) -> DataFrame:

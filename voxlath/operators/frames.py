@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 #: dB of a frame without a measured energy.
 SILENCE_DB = -100.0
@@ -87,31 +88,55 @@ def pauses(frames: DataFrame, energy: DataFrame, pause_db: float, min_pause: int
     return numbered.withColumn("barrier", F.col("quiet") & (size >= min_pause)).drop("__q")
 
 
+def mark_pauses(rows: DataFrame, pause_db: float, min_pause: int, threshold: float = 0.5, share: float = 0.9, rec: str = "rec", k: str = "k") -> DataFrame:
+    """Adds quiet and barrier as `pauses` has them, for dense rows (rec, t, k, p, db), by windows within a recording alone."""
+    frame, speaker = Window.partitionBy(rec, "t"), Window.partitionBy(rec, k).orderBy("t")
+    once = (F.col(k) == F.min(k).over(frame)) & F.max(F.col("p") > threshold).over(frame)
+    out = rows.withColumn("__a", F.when(once, F.coalesce("db", F.lit(SILENCE_DB))))
+    level = F.percentile("__a", share).over(Window.partitionBy(rec))
+    out = out.withColumn("quiet", F.coalesce(F.coalesce("db", F.lit(SILENCE_DB)) < level + pause_db, F.lit(False))).drop("__a")
+    out = _numbered(out, speaker, F.col("quiet"), "__q")
+    return out.withColumn("barrier", F.col("quiet") & (F.count("*").over(Window.partitionBy(rec, k, "__q")) >= min_pause)).drop("__q")
+
+
+def _numbered(rows: DataFrame, w: WindowSpec, value: Column, out: str, t: str = "t") -> DataFrame:
+    """Adds the number of the run of equal values in consecutive frames."""
+    new = (value != F.lag(value).over(w)) | (F.col(t) != F.lag(t).over(w) + 1)
+    return rows.withColumn("__new", F.coalesce(new, F.lit(False)).cast("int")).withColumn(out, F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+
+
 def smear_trim(rows: DataFrame, max_frames: int, max_strength: float, keys: Sequence[str] = ("rec", "k")) -> DataFrame:
     """Adds trimmed (the foreign mask without detector smear at pauses) and smear (frames of smear pauses).
 
     rows: dense frames with foreign, barrier and strength.  A weak run outside pauses is at most
     max_frames long with a peak of at most max_strength; a pause that touches any other run
     outside is a smear pause: its weak frames and the weak runs that touch it are cleared.
+    Everything is a window within the keys, so rows are dealt once.
     """
-    keys = list(keys)
-    on = [F.col(c) for c in keys]
-    outside = islands(rows, keys, F.col("foreign") & ~F.col("barrier"), aggs=[F.max("strength").alias("peak")])
-    outside = outside.withColumn("weak", (F.col("end") - F.col("start") <= max_frames) & (F.col("peak") <= max_strength))
-    pause = islands(rows, keys, "barrier")
-    strong = outside.where(~F.col("weak"))
-    touch = strong.select(*on, F.col("end").alias("start")).withColumn("hit", F.lit(1)), strong.select(*on, F.col("start").alias("end")).withColumn("hit2", F.lit(1))
-    smear = pause.join(touch[0].distinct(), [*keys, "start"], "left").join(touch[1].distinct(), [*keys, "end"], "left")
-    smear = smear.where(F.col("hit").isNotNull() | F.col("hit2").isNotNull()).select(*keys, "start", "end")
-    weak = outside.where("weak").select(*keys, "start", "end")
-    starts = smear.select(*on, F.col("end").alias("start"), F.lit(1).alias("a"))
-    ends = smear.select(*on, F.col("start").alias("end"), F.lit(1).alias("b"))
-    cleared = weak.join(starts, [*keys, "start"], "left").join(ends, [*keys, "end"], "left").where(F.col("a").isNotNull() | F.col("b").isNotNull())
-    frames_of = lambda runs, name: runs.select(*keys, F.explode(F.sequence("start", F.col("end") - 1)).alias("t"), F.lit(True).alias(name))
-    out = rows.join(frames_of(smear, "smear"), [*keys, "t"], "left").join(frames_of(cleared, "cleared"), [*keys, "t"], "left")
-    smeared, gone = F.coalesce("smear", F.lit(False)), F.coalesce("cleared", F.lit(False))
-    trimmed = F.col("foreign") & ~gone & (~smeared | (F.col("strength") > max_strength))
-    return out.withColumn("trimmed", trimmed).withColumn("smear", smeared).drop("cleared")
+    w = Window.partitionBy(*keys).orderBy("t")
+    kind = F.when(F.col("barrier"), 2).when(F.col("foreign"), 1).otherwise(0)
+    out = _numbered(rows.withColumn("__kind", kind), w, F.col("__kind"), "__run")
+    run = Window.partitionBy(*keys, "__run")
+    weak = (F.count("*").over(run) <= max_frames) & (F.max("strength").over(run) <= max_strength)
+    out = out.withColumn("__strong", (F.col("__kind") == 1) & ~weak)
+
+    def touches(flag: str) -> Column:
+        """Whether the frame before or after in time has the flag."""
+        before = F.lag(flag).over(w) & (F.lag("t").over(w) == F.col("t") - 1)
+        after = F.lead(flag).over(w) & (F.lead("t").over(w) == F.col("t") + 1)
+        return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
+
+    out = out.withColumn("__touch", touches("__strong")).withColumn("smear", (F.col("__kind") == 2) & F.max("__touch").over(run))
+    out = out.withColumn("__touch", touches("smear")).withColumn("__cleared", (F.col("__kind") == 1) & ~F.col("__strong") & F.max("__touch").over(run))
+    trimmed = F.col("foreign") & ~F.col("__cleared") & (~F.col("smear") | (F.col("strength") > max_strength))
+    return out.withColumn("trimmed", trimmed).drop("__kind", "__run", "__strong", "__touch", "__cleared")
+
+
+def in_runs(rows: DataFrame, keys: Sequence[str], mask: Column, start: str = "run_start", end: str = "run_end", t: str = "t") -> DataFrame:
+    """Rows where mask holds, with the bounds of their run."""
+    out = _numbered(rows.withColumn("__mask", mask), Window.partitionBy(*keys).orderBy(t), F.col("__mask"), "__run")
+    run = Window.partitionBy(*keys, "__run")
+    return out.withColumn(start, F.min(t).over(run)).withColumn(end, F.max(t).over(run) + 1).where("__mask").drop("__mask", "__run")
 
 
 def padded_foreign(rows: DataFrame, pad: int, max_frames: int, max_strength: float, keys: Sequence[str] = ("rec", "k")) -> DataFrame:

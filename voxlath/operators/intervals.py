@@ -37,20 +37,20 @@ def overlapping(left: DataFrame, right: DataFrame, keys: Sequence[str], width: f
 def words_in_segments(words: DataFrame, segments: DataFrame, keys: Sequence[str], width: float, tolerance: float = 0.2) -> DataFrame:
     """Per segment: its text, words, and words that its bounds cut: ones that cross its start, or end later than its end by more than tolerance.
 
-    words: (keys, start, end, text); segments: (keys, seg_start, seg_end).  Words start inside or
-    at most one bin before, if no word is longer than a bin.
+    words: (keys, start, end, text); segments: (keys, seg_start, seg_end).  Equal rows of words count
+    each; words and segments may be longer than a bin.
     """
     keys = list(keys)
-    w = words.select(*keys, "start", "end", "text").withColumn("__bin", F.explode(F.array_distinct(F.array(F.floor(F.col("start") / width), F.floor(F.col("end") / width)))))
+    w = words.select(*keys, "start", "end", "text").withColumn("__w", F.monotonically_increasing_id()).withColumn("__bin", _bins(F.col("start"), F.col("end"), width))
     s = segments.select(*[F.col(k).alias(f"__{k}") for k in keys], "seg_start", "seg_end").withColumn("__b", _bins(F.col("seg_start"), F.col("seg_end"), width))
     near = w.join(s, [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col("__bin") == F.col("__b")])
     inside = (F.col("start") >= F.col("seg_start")) & (F.col("start") < F.col("seg_end"))
     crosses = (F.col("start") < F.col("seg_start")) & (F.col("seg_start") < F.col("end"))
-    # A pair counts in the bin of the word's start, or of the segment's start for a word that began before it.
-    counted = near.where((inside & (F.col("__bin") == F.floor(F.col("start") / width))) | (crosses & (F.col("__bin") == F.floor(F.col("end") / width)) & (F.col("__bin") == F.floor(F.least(F.col("end"), F.col("seg_end")) / width))) | (crosses & (F.col("__bin") == F.floor(F.col("start") / width)) & (F.floor(F.col("start") / width) == F.floor(F.col("seg_start") / width))))
-    counted = counted.dropDuplicates([*keys, "seg_start", "seg_end", "start", "end", "text"])
+    # A pair meets in every bin that both touch, and counts in the first of these.
+    first = F.floor(F.greatest(F.col("start"), F.col("seg_start")) / width)
+    counted = near.where((inside | crosses) & (F.col("__bin") == first))
     cut = crosses | (inside & (F.col("end") > F.col("seg_end") + tolerance))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(inside, F.struct("start", "end", "text")))), lambda x: x["text"]), " ")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(inside, F.struct("start", "end", "text", "__w")))), lambda x: x["text"]), " ")
     out = counted.groupBy(*keys, "seg_start", "seg_end").agg(text.alias("text"), F.count_if(inside).alias("num_words"), F.count_if(cut).alias("cut_words"))
     return segments.select(*keys, "seg_start", "seg_end").join(out, [*keys, "seg_start", "seg_end"], "left").select(
         *keys, "seg_start", "seg_end", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("num_words", F.lit(0)).alias("num_words"), F.coalesce("cut_words", F.lit(0)).alias("cut_words")

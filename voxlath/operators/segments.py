@@ -43,36 +43,27 @@ def speaker_gap_merge(runs: DataFrame, own: DataFrame, margin: int, max_pause: i
     return groups.select(*keys, "run_start", F.explode("g").alias("g")).select(*keys, "run_start", "g.start", "g.end")
 
 
-def split_long(span: tuple[int, int], gaps: list[tuple[int, int]], max_len: int, min_pause: int) -> list[tuple[int, int]]:
-    """Halve a span at its longest inner gap (the latest of equals) until its parts fit; a part that has no gap goes."""
-    out, todo = [], [span]
-    while todo:
-        a, b = todo.pop()
-        if b - a <= max_len:
-            out.append((a, b))
-            continue
-        inner = [(y - x, x, y) for x, y in gaps if x > a and y < b and y - x >= min_pause]
-        if inner:
-            _, x, y = max(inner)
-            todo += [(y, b), (a, x)]
-    return out
+def split_long(start: Column, end: Column, gaps: Column, max_len: int, min_pause: int) -> Column:
+    """Parts of a span, halved at its longest inner gap (the latest of equals) until they fit; a part that has no gap goes.
 
+    Gaps are taken from the longest down: one cuts the part around it if that is still too long.
+    """
+    inner = F.filter(gaps, lambda g: (g["start"] > start) & (g["end"] < end) & (g["end"] - g["start"] >= min_pause))
+    ranked = F.reverse(F.array_sort(F.transform(inner, lambda g: F.struct((g["end"] - g["start"]).alias("n"), g["start"].alias("start"), g["end"].alias("end")))))
 
-def split_long_spans(rows: DataFrame, keys: Sequence[str], max_len: int, min_pause: int) -> DataFrame:
-    """split_long for rows (keys, start, end, gaps array<struct<start, end>>)."""
-    from pyspark.sql import types as T
-
-    names = [*keys]
-    schema = T.StructType([rows.schema[k] for k in names] + [T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    def cut(parts: Column, g: Column) -> Column:
+        halves = lambda p: F.array(F.struct(p["start"].alias("start"), g["start"].alias("end")), F.struct(g["end"].alias("start"), p["end"].alias("end")))
+        around = lambda p: (p["start"] < g["start"]) & (g["end"] < p["end"]) & (p["end"] - p["start"] > max_len)
+        return F.flatten(F.transform(parts, lambda p: F.when(around(p), halves(p)).otherwise(F.array(F.struct(p["start"].alias("start"), p["end"].alias("end"))))))
 
-    def run(batches):
-        import pandas as pd
+    whole = F.array(F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end")))
+    return F.filter(F.aggregate(ranked, whole, cut), lambda p: p["end"] - p["start"] <= max_len)
 
-        for pdf in batches:
-            made = [(*[row[k] for k in names], a, b) for row in pdf.to_dict("records") for a, b in split_long((row["start"], row["end"]), [(g["start"], g["end"]) for g in row["gaps"]], max_len, min_pause)]
-            yield pd.DataFrame(made, columns=[*names, "start", "end"])
 
-    return rows.select(*names, "start", "end", "gaps").mapInPandas(run, schema)
+def split_long_spans(rows: DataFrame, keys: Sequence[str], max_len: int, min_pause: int) -> DataFrame:
+    """split_long for rows (keys, start, end, gaps array<struct<start, end>>)."""
+    parts = split_long(F.col("start"), F.col("end"), F.col("gaps"), max_len, min_pause)
+    return rows.select(*keys, F.explode(parts).alias("p")).select(*keys, "p.start", "p.end")
 
 
 def acoustic_chunks(frames: DataFrame, margin: int, min_pause: int, split_pause: int, max_len: int, keys: Sequence[str] = ("rec", "k")) -> DataFrame:

@@ -199,7 +199,7 @@ def topk_per_group(spark, d):
 
 
 def text_normalise(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.md5(tx.normalise(F.col("text"), compose=False)).alias("digest"), F.length(tx.normalise(F.col("text"), compose=False)).cast("long").alias("n"))
+    return table(spark, d, "documents").select("doc_id", F.md5(tx.normalise(F.col("text"))).alias("digest"), F.length(tx.normalise(F.col("text"))).cast("long").alias("n"))
 
 
 def _pairs(spark, d) -> DataFrame:
@@ -342,7 +342,7 @@ rk AS (SELECT recording, row_number() OVER (ORDER BY md5('3:' || recording::VARC
 held AS (SELECT c.*, CASE WHEN r <= greatest(round_even(n * 0.1, 0), CASE WHEN n > 1 THEN 1 ELSE 0 END) THEN 'dev' ELSE 'train' END AS split FROM clips c JOIN rk USING (recording))
 """
 _PAIRS = """
-lines AS (SELECT conv_id, turn, substring(trim(regexp_replace(regexp_replace(lower(text), '[^a-z ]', '', 'g'), ' +', ' ', 'g')), 1, 60) AS h FROM conversations),
+lines AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(lower(text), '[^a-z ]', '', 'g'), ' +', ' ', 'g')) AS h FROM conversations),
 pairs AS (SELECT conv_id, turn, h AS hypothesis, lag(h) OVER (PARTITION BY conv_id ORDER BY turn) AS reference FROM lines)
 """
 _GROUPED = RESULTS + """,
@@ -410,7 +410,7 @@ ORACLES = {
     "split_routing_stats": f"WITH {_HOLD} SELECT CASE WHEN split = 'dev' THEN 'dev' WHEN s_suppkey % 2 = 0 THEN 'train_female' ELSE 'train_main' END AS dataset, count(*) AS clips, round(sum(duration) / 3600, 2) AS hours, count(DISTINCT speaker) AS speakers FROM held LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 5 <> 0) ON s_suppkey = speaker GROUP BY 1",
     "systematic_sample": "WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, greatest(1, count(*) OVER (PARTITION BY lang) // 20) AS step FROM documents) SELECT doc_id, lang FROM r WHERE i % step = 0 AND i < 20 * step",
     "topk_per_group": f"WITH {CLIPS} SELECT id, speaker, duration FROM (SELECT *, row_number() OVER (PARTITION BY speaker ORDER BY duration DESC, id) AS r FROM clips) WHERE r <= 8",
-    "text_normalise": r"WITH t AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(regexp_replace(text, '[\x{200B}\x{200C}\x{200D}\x{FEFF}]', '', 'g'), '[\p{P}\p{S}]', ' ', 'g')), '[\s\p{Z}]+', ' ', 'g')) AS t FROM documents) SELECT doc_id, md5(t) AS digest, length(t) AS n FROM t",
+    "text_normalise": r"WITH t AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(regexp_replace(nfc_normalize(text), '[\x{200B}\x{200C}\x{200D}\x{FEFF}]', '', 'g'), '[\p{P}\p{S}]', ' ', 'g')), '[\s\p{Z}]+', ' ', 'g')) AS t FROM documents) SELECT doc_id, md5(t) AS digest, length(t) AS n FROM t",
     "cer_pairs": f"WITH {_PAIRS} SELECT conv_id, turn, round(levenshtein(replace(reference, ' ', ''), replace(hypothesis, ' ', '')) / greatest(1, length(replace(reference, ' ', ''))), 6) AS cer FROM pairs WHERE reference IS NOT NULL",
     "result_group_means": f'WITH {_GROUPED} SELECT model, g AS "group", count(*) AS n, round(avg(cer), 6) AS mean FROM grouped GROUP BY 1, 2',
     "paired_diffs": f"WITH {RESULTS} SELECT r.model, count(*) AS n, round(avg(r.cer - b.cer), 6) AS diff, round(avg((r.cer - b.cer < 0)::INT), 6) AS wins FROM results r JOIN results b ON b.model = 'click' AND b.item = r.item WHERE r.model <> 'click' GROUP BY 1",

@@ -28,8 +28,7 @@ def _local(spark, d) -> DataFrame:
 
 
 def co_activity(spark, d):
-    out = asg.co_activity(_local(spark, d), frames(spark, d))
-    return out.select("rec", "w", "l", "k", F.round("score", 6).alias("score"))
+    return asg.co_activity(_local(spark, d), frames(spark, d))
 
 
 def window_assignment(spark, d):
@@ -46,14 +45,13 @@ def others_of_window(spark, d):
 
 def spelling_candidates(spark, d):
     words = lx.counts(lx.words(table(spark, d, "documents"))).where(F.col("word").rlike("^[a-z]+$"))
-    typed = words.where("n >= 20").select(F.col("word").alias("typed"))
-    out = lx.candidates(typed, words)
+    out = lx.candidates(words.select(F.col("word").alias("typed")), words)
     return out.groupBy("typed").agg(F.count("*").alias("n"), F.sum("n").alias("total"))
 
 
 def ranked_candidates(spark, d):
     words = lx.counts(lx.words(table(spark, d, "documents"))).where(F.col("word").rlike("^[a-z]+$"))
-    out = lx.ranked(lx.candidates(words.where("n >= 20").select(F.col("word").alias("typed")), words), 1e5)
+    out = lx.ranked(lx.candidates(words.select(F.col("word").alias("typed")), words), 1e5)
     return out.select("typed", "word", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -146,10 +144,9 @@ def value_codebooks(spark, d):
 
 def split_long_runs(spark, d):
     """Runs of activity split at their longest gaps."""
-    f = frames(spark, d).where("k = 4")
-    gaps = fr.islands(f, ["rec"], F.col("p") <= 0.05)
-    rows = gaps.groupBy("rec").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gaps")).withColumn("start", F.lit(0).cast("long")).withColumn("end", F.lit(720).cast("long"))
-    return sg.split_long_spans(rows, ["rec"], 40, 2)
+    gaps = fr.islands(frames(spark, d), ["rec", "k"], F.col("p") <= 0.05)
+    rows = gaps.groupBy("rec", "k").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gaps")).withColumn("start", F.lit(0).cast("long")).withColumn("end", F.lit(720).cast("long"))
+    return sg.split_long_spans(rows, ["rec", "k"], 40, 2)
 
 
 def probe_frames(spark, d):
@@ -170,13 +167,13 @@ QUERIES = {
 }
 
 ORACLES = {
-    "co_activity": f"WITH {_LOCAL} SELECT lc.rec, w, l, f.k, round(sum(lc.p * f.p), 6) AS score FROM lc JOIN frames f ON f.rec = lc.rec AND f.t = lc.t GROUP BY 1, 2, 3, 4",
+    "co_activity": f"WITH {_LOCAL} SELECT lc.rec, w, l, f.k, sum((lc.p * f.p)::DECIMAL(20, 12))::DOUBLE AS score FROM lc JOIN frames f ON f.rec = lc.rec AND f.t = lc.t GROUP BY 1, 2, 3, 4",
     "window_assignment": f"""WITH {_LOCAL}, sc AS (SELECT lc.rec, w, l, f.k, sum(lc.p * f.p) AS s FROM lc JOIN frames f ON f.rec = lc.rec AND f.t = lc.t GROUP BY 1, 2, 3, 4),
       ways AS (SELECT a.rec, a.w, a.k AS a, b.k AS b, c.k AS c, a.s AS sa, b.s AS sb, c.s AS sc, row_number() OVER (PARTITION BY a.rec, a.w ORDER BY a.s + b.s + c.s DESC, a.k, b.k, c.k) AS r
         FROM sc a JOIN sc b ON a.rec = b.rec AND a.w = b.w AND a.l = 0 AND b.l = 1 AND a.k <> b.k JOIN sc c ON a.rec = c.rec AND a.w = c.w AND c.l = 2 AND c.k <> a.k AND c.k <> b.k)
       SELECT rec, w, 0::BIGINT AS l, a AS k FROM ways WHERE r = 1 AND sa > 0.5 UNION ALL SELECT rec, w, 1, b FROM ways WHERE r = 1 AND sb > 0.5 UNION ALL SELECT rec, w, 2, c FROM ways WHERE r = 1 AND sc > 0.5""",
     "others_of_window": f"WITH {_LOCAL} SELECT lc.rec, t, k.range AS k, round(max(p), 6) AS other FROM lc, range(5) k WHERE (l * 2 + 1) % 5 <> k.range GROUP BY 1, 2, 3 HAVING max(p) > 0.5",
-    "shard_list": r"""WITH o AS (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'file:///D:/data/' || o_orderkey WHEN 1 THEN '/data/' || o_orderkey ELSE '/base/' || o_orderkey END AS p FROM orders WHERE o_orderkey % 7 = 0)
+    "shard_list": r"""WITH o AS (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'file:///D:/data/' || o_orderkey WHEN 1 THEN '/data/' || o_orderkey ELSE '/base/' || o_orderkey END AS p FROM orders)
       SELECT p || '.tar' AS tar, p || '.lst' AS label, o_custkey % 100 AS n, (o_custkey % 7)::DOUBLE AS seconds FROM o""",
     "cache_states": """SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'no_input' WHEN o_orderkey % 5 = 0 THEN 'missing' WHEN o_orderkey % 4 = 0 THEN 'stale' ELSE 'cached' END AS state, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1""",
     "stage_outcomes": "SELECT event_type AS stage, count(*) FILTER (user_id % 7 <> 0 AND user_id % 3 <> 0) AS ok, count(*) FILTER (user_id % 7 <> 0 AND user_id % 3 = 0) AS skipped, count(*) FILTER (user_id % 7 = 0) AS failed FROM events GROUP BY 1",
@@ -184,7 +181,7 @@ ORACLES = {
     "paired_files": "SELECT 'take_' || page_id AS id, CASE WHEN page_id % 5 = 0 THEN 'srt' WHEN page_id % 3 = 0 THEN 'vtt' WHEN page_id % 2 = 0 THEN 'txt' END AS kind, page_id % 7 = 0 AS has_sidecar FROM pages",
     "cue_blocks": r"""WITH c AS (SELECT conv_id AS rec, turn, trim(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '<[^>]*>', '', 'g')) AS t FROM conversations), p AS (SELECT *, lag(t) OVER (PARTITION BY rec ORDER BY turn) AS pt FROM c)
       SELECT rec, round((turn * 8 + 0.25)::DOUBLE, 3) AS start, round((turn * 8 + 5.25)::DOUBLE, 3) AS "end", md5(t) AS digest FROM p WHERE t <> '' AND t IS DISTINCT FROM pt""",
-    "timed_text": r"""WITH w AS (SELECT conv_id AS rec, turn, len(list_filter(string_split_regex(replace(text, '>>', ''), '\s+'), lambda x: x <> '')) AS n FROM conversations WHERE turn < 3)
+    "timed_text": r"""WITH w AS (SELECT conv_id AS rec, turn, len(list_filter(string_split_regex(replace(text, '>>', ''), '\s+'), lambda x: x <> '')) AS n FROM conversations)
       SELECT rec, sum(n)::BIGINT AS n, round(min(turn * 8 + 0.5) FILTER (n > 0)::DOUBLE, 3) AS first, round(max(turn * 8 + 0.5) FILTER (n > 0)::DOUBLE, 3) AS last FROM w GROUP BY rec HAVING sum(n) > 0""",
     "loudness_gains": "SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN 0.0 ELSE round(least(-23.0 + abs(c_acctbal) / 100, -1.0 + abs(c_acctbal) / 300), 6) END AS gain FROM customer",
     "faded_samples": """WITH f AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS i, len(embedding) AS n FROM embeddings),
@@ -194,5 +191,10 @@ ORACLES = {
       ix AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS code FROM lex), bg AS (SELECT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM toks)), bc AS (SELECT a, b, count(*) AS n FROM bg GROUP BY 1, 2 HAVING count(*) >= 3)
       SELECT x.code AS i, y.code AS j, n FROM bc JOIN ix x ON x.word = a JOIN ix y ON y.word = b""",
     "rotated_vectors": "WITH f AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) SELECT vec_id, round(sqrt(sum(v * v)), 5) AS norm, round(sum(v) FILTER (i <= 16) / 4, 5) AS first FROM f GROUP BY vec_id",
+    "split_long_runs": f"""WITH RECURSIVE {FRAMES}, g AS (SELECT rec, k, t, t - row_number() OVER (PARTITION BY rec, k ORDER BY t) AS g FROM frames WHERE p <= 0.05),
+      i AS (SELECT rec, k, min(t) AS a, max(t) + 1 AS b FROM g GROUP BY rec, k, g), l AS (SELECT rec, k, list({{'n': b - a, 'a': a, 'b': b}}) FILTER (b - a >= 2) AS gaps FROM i GROUP BY 1, 2),
+      sp AS (SELECT rec, k, 0::BIGINT AS s, 720::BIGINT AS e, coalesce(gaps, []) AS gaps FROM l UNION ALL
+        SELECT rec, k, CASE side WHEN 0 THEN s ELSE cut.b END, CASE side WHEN 0 THEN cut.a ELSE e END, gaps FROM (SELECT *, list_max(list_filter(gaps, lambda x: x.a > s AND x.b < e)) AS cut FROM sp WHERE e - s > 40), (SELECT unnest([0, 1]) AS side) WHERE cut IS NOT NULL)
+      SELECT rec, k, s AS start, e AS "end" FROM sp WHERE e - s <= 40""",
     "probe_frames": "SELECT conv_id, turn, floor((turn * 0.37::DOUBLE) / 0.01::DOUBLE)::BIGINT AS first, ceil((turn * 0.37::DOUBLE + 0.111::DOUBLE) / 0.01::DOUBLE)::BIGINT AS last FROM conversations",
 }

@@ -38,6 +38,16 @@ def energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spine(spark, False).join(db, ["rec", "t"], "left").select("rec", "t", F.coalesce("db", F.lit(-100.0)).alias("db"))
 
 
+def frames_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rec, t, k, p, db): both in one table, dealt by recording, from one pass over the events."""
+    best = F.array(*[F.max(F.when(F.col("k") == k, F.col("value"))) for k in range(len(KINDS))]).alias("best")
+    db = (10 * F.log10(F.sum(F.col("value") * F.col("value")) / F.count("*") + F.lit(1e-10))).alias("db")
+    heard = _events(spark, sf_dir).groupBy("rec", "t").agg(best, db)
+    ks = F.posexplode(F.coalesce("best", F.array_repeat(F.lit(None).cast("double"), len(KINDS)))).alias("k", "value")
+    out = _spine(spark, False).join(heard, ["rec", "t"], "left").select("rec", "t", F.coalesce("db", F.lit(-100.0)).alias("db"), ks)
+    return out.select("rec", "t", F.col("k").cast("long").alias("k"), F.when(F.col("value").isNull(), 0.0).otherwise(F.least(F.lit(1.0), F.col("value") / 100)).alias("p"), "db").repartition("rec")
+
+
 FRAMES = """
 ev AS (SELECT user_id % 8 AS rec, date_diff('hour', TIMESTAMP '2024-01-01', ts) AS t, list_position(['click','error','purchase','signup','view'], event_type) - 1 AS k, value FROM events),
 spine AS (SELECT r.range AS rec, h.range AS t, s.range AS k FROM range(8) r, range(720) h, range(5) s),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import frames as fr
 from ..operators import segments as sg
-from .fixtures import ENERGY, FRAMES, energy, frames
+from .fixtures import ENERGY, FRAMES, energy, frames, frames_energy
 
 #: Thresholds of the detectors, and frame counts of the rules, that suit the fixture's density.
 SIGNALS = {"other": 0.3, "overlap": 0.5, "local_other": None}
@@ -54,9 +54,8 @@ inrun AS (SELECT cg.rec, cg.k, cg.t, cg.own, cg.quiet, cg.p, r.start AS rs, r."e
 
 def signals(spark, d) -> DataFrame:
     """Frames with the detectors' signals and masks."""
-    f = frames(spark, d)
-    top = f.groupBy("rec", "t").agg(F.get(F.sort_array(F.collect_list("p"), False), F.lit(1)).alias("overlap"))  # as many values as speakers
-    out = fr.others_max(f, out="other").join(top, ["rec", "t"]).withColumn("local_other", F.lit(None).cast("double"))
+    second = F.get(F.sort_array(F.collect_list("p").over(Window.partitionBy("rec", "t")), False), F.lit(1))  # as many values as speakers
+    out = fr.others_max(frames_energy(spark, d), out="other").withColumn("overlap", second).withColumn("local_other", F.lit(None).cast("double"))
     return out.withColumn("foreign", fr.union_mask(SIGNALS)).withColumn("strength", fr.strength(SIGNALS)).withColumn("own", F.col("p") > SPEECH)
 
 
@@ -79,8 +78,7 @@ def dilated_mask(spark, d):
 
 
 def _paused(spark, d) -> DataFrame:
-    p = fr.pauses(frames(spark, d), energy(spark, d), PAUSE_DB, MIN_PAUSE, SPEECH)
-    return signals(spark, d).join(p, ["rec", "t"])
+    return fr.mark_pauses(signals(spark, d), PAUSE_DB, MIN_PAUSE, SPEECH)
 
 
 def dilated_within_barrier(spark, d):
@@ -119,10 +117,7 @@ def clean_run_summary(spark, d):
 
 def _in_runs(spark, d) -> DataFrame:
     """Frames of clean runs with their run's bounds."""
-    unsafe = _unsafe(spark, d)
-    runs = fr.islands(unsafe, ["rec", "k"], ~F.col("unsafe"))
-    cells = runs.select("rec", "k", F.col("start").alias("run_start"), F.col("end").alias("run_end"), F.explode(F.sequence("start", F.col("end") - 1)).alias("t"))
-    return unsafe.join(cells, ["rec", "k", "t"])
+    return fr.in_runs(_unsafe(spark, d), ["rec", "k"], ~F.col("unsafe"))
 
 
 def speaker_gap_merge(spark, d):
@@ -163,21 +158,21 @@ def maxpool_align(spark, d):
 
 
 def _windows(spark, d) -> DataFrame:
-    """Frames of speaker 4 as overlapping windows of 48 frames every 12, the last one right-aligned."""
-    f = frames(spark, d).where("k = 4")
+    """Frames as overlapping windows of 48 frames every 13, the last one right-aligned."""
+    f = frames(spark, d)
     starts = f.groupBy("rec").agg(F.explode(fr.window_starts((F.max("t") + 1).cast("int"), 48, 13)).alias("w"))
     cells = starts.select("rec", "w", F.explode(F.sequence(F.lit(0), F.lit(47))).alias("i")).withColumn("t", (F.col("w") + F.col("i")).cast("long"))
     return cells.join(f, ["rec", "t"]).withColumn("weight", fr.hamming(F.col("i"), 48)).withColumn("p", F.col("p") * (1 + F.col("w") % 5) / 5)
 
 
 def overlap_add(spark, d):
-    return fr.overlap_add(_windows(spark, d), ["rec", "t"], ["p"], "weight").where("p > 0").select("rec", "t", F.round("p", 6).alias("p"))
+    return fr.overlap_add(_windows(spark, d), ["rec", "k", "t"], ["p"], "weight").where("p > 0").select("rec", "k", "t", F.round("p", 6).alias("p"))
 
 
 def combine_windows(spark, d):
     w = _windows(spark, d)
-    both = fr.combine_windows(w, ["rec", "t"], "p", "max").join(fr.combine_windows(w, ["rec", "t"], "p", "mean").withColumnRenamed("p", "mean"), ["rec", "t"])
-    return both.where("p > 0").select("rec", "t", F.round("p", 6).alias("largest"), F.round("mean", 6).alias("mean"))
+    both = fr.combine_windows(w, ["rec", "k", "t"], "p", "max").join(fr.combine_windows(w, ["rec", "k", "t"], "p", "mean").withColumnRenamed("p", "mean"), ["rec", "k", "t"])
+    return both.where("p > 0").select("rec", "k", "t", F.round("p", 6).alias("largest"), F.round("mean", 6).alias("mean"))
 
 
 def ctc_collapse(spark, d):
@@ -218,7 +213,7 @@ merged AS (SELECT rec, k, run_start, s AS speech_start, e AS speech_end, s - lea
 
 _WINDOWS = FRAMES + """,
 ws AS (SELECT r.range AS rec, w.range * 13 AS w FROM range(8) r, range(52) w WHERE w.range * 13 <= 672 UNION SELECT range, 672 FROM range(8)),
-wc AS (SELECT ws.rec, ws.w, i.range AS i, f.t, f.p * (1 + ws.w % 5) / 5 AS p, 0.54 - 0.46 * cos(2 * pi() * i.range / 47) + 1e-3 AS wt FROM ws, range(48) i, frames f WHERE f.k = 4 AND f.rec = ws.rec AND f.t = ws.w + i.range)
+wc AS (SELECT ws.rec, f.k, ws.w, i.range AS i, f.t, f.p * (1 + ws.w % 5) / 5 AS p, 0.54 - 0.46 * cos(2 * pi() * i.range / 47) + 1e-3 AS wt FROM ws, range(48) i, frames f WHERE f.rec = ws.rec AND f.t = ws.w + i.range)
 """
 
 ORACLES = {
@@ -251,8 +246,8 @@ ORACLES = {
         WHEN EXISTS (SELECT 1 FROM sig WHERE sig.rec = m.rec AND sig.k = m.k AND other > 0.95 AND t >= start - 30 AND t < e + 30) THEN 'second voice' ELSE 'kept' END AS reason FROM m""",
     "upsample_align": f"WITH {FRAMES}, c AS (SELECT rec, k, t // 2 AS t, max(p) AS q FROM frames WHERE t < 700 GROUP BY 1, 2, 3) SELECT f.rec, f.k, f.t, round(q, 6) AS q FROM frames f JOIN c ON c.rec = f.rec AND c.k = f.k AND c.t = least(f.t // 2, 349) WHERE q > 0",
     "maxpool_align": f"WITH {FRAMES} SELECT rec, k, t // 7 AS t, round(max(p), 6) AS p FROM frames GROUP BY rec, k, t // 7 HAVING max(p) > 0",
-    "overlap_add": f"WITH {_WINDOWS} SELECT rec, t, round(sum(p * wt) / greatest(sum(wt), 1e-8), 6) AS p FROM wc GROUP BY rec, t HAVING sum(p) > 0",
-    "combine_windows": f"WITH {_WINDOWS} SELECT rec, t, round(max(p), 6) AS largest, round(avg(p), 6) AS mean FROM wc GROUP BY rec, t HAVING max(p) > 0",
+    "overlap_add": f"WITH {_WINDOWS} SELECT rec, k, t, round(sum(p * wt) / greatest(sum(wt), 1e-8), 6) AS p FROM wc GROUP BY rec, k, t HAVING sum(p) > 0",
+    "combine_windows": f"WITH {_WINDOWS} SELECT rec, k, t, round(max(p), 6) AS largest, round(avg(p), 6) AS mean FROM wc GROUP BY rec, k, t HAVING max(p) > 0",
     "ctc_collapse": f"""WITH {FRAMES}, b AS (SELECT rec, t, k FROM (SELECT *, row_number() OVER (PARTITION BY rec, t ORDER BY p DESC, k) AS r FROM frames) WHERE r = 1), l AS (SELECT *, lag(k) OVER (PARTITION BY rec ORDER BY t) AS pk FROM b)
       SELECT rec, count(*) AS n, string_agg(k::VARCHAR, '' ORDER BY t) AS path FROM l WHERE k <> 0 AND (pk IS NULL OR k <> pk) GROUP BY rec""",
     "peak_envelope": f"""WITH {FRAMES}, {ENERGY}, pk AS (SELECT rec, t // 24 AS t, max(abs(db)) AS peak FROM energy GROUP BY 1, 2), tp AS (SELECT rec, quantile_cont(peak, 0.999) AS top FROM pk GROUP BY rec)
