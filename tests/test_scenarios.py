@@ -110,7 +110,7 @@ def test_error_rates(spark):
 def test_spelling(spark):
     assert one(spark, tx.phonetic_key(F.lit("Chhora"))) == "cor"
     assert one(spark, tx.loose_key(F.lit("namaste"))) == "nmste"
-    assert tx.typing_cost("nmste", "namaste") == 1.0 and tx.typing_cost("ab", "b") == 5.0
+    assert tx.typing_costs(["nmste", "ab", ""], ["namaste", "b", "xa"]).tolist() == [1.0, 5.0, 1.5]
     assert one(spark, tx.safe_id(F.lit("..a b/नमस्ते.x_"))) == "a_b_नमस_त_.x"
     assert one(spark, tx.timestamp_seconds(F.lit("1:02:03,5"))) == 3723.5 and one(spark, tx.timestamp_seconds(F.lit("x"))) is None
     assert tx.chunks("Mr. X ran. He fell! Ok", 10) == ["Mr. X ran.", "He fell!", "Ok"]
@@ -119,7 +119,7 @@ def test_spelling(spark):
 def test_votes_count_once(spark):
     slots = "array(named_struct('slot','A','model','m'), named_struct('slot','B','model','n'))"
     rounds = spark.sql(f"select 1 round_id, true blind, {slots} slots, cast(null as string) vote union all select 2, true, {slots}, 'A' union all select 3, false, {slots}, null")
-    votes = spark.createDataFrame([(1, "B"), (2, "B"), (3, "A")], "round_id int, vote string")
+    votes = spark.createDataFrame([(1, "A", 9), (1, "B", 2), (1, "C", 1), (2, "B", 1), (3, "A", 1)], "round_id int, vote string, at int")
     out = evaluation.apply_votes(rounds, votes)
     assert {r["round_id"]: r["vote"] for r in out.collect()} == {1: "B", 2: "A", 3: None}
     assert out.where("round_id = 3").select(evaluation.mask_slots(F.col("slots"), F.lit(True), F.col("vote"))[0]["model"]).first()[0] is None

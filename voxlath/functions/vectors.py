@@ -61,6 +61,12 @@ def unpack_nibbles(packed: Column, codebook: Column, scale: Column) -> Column:
     return F.transform(pair, lambda c: F.element_at(codebook, c.cast("int") + 1) * scale)
 
 
+def unpack_weights(packed: Column, codebook: Column, relative: Column, channel: Column, group: int) -> Column:
+    """Weights of packed 4-bit codes: looked up, scaled by their group to 8-bit steps (half to even, at most 127), and by the channel."""
+    codes = unpack_nibbles(packed, codebook, F.lit(1.0))
+    return F.transform(codes, lambda v, i: F.greatest(F.lit(-127.0), F.least(F.lit(127.0), F.rint(v * F.element_at(relative, F.floor(i / group).cast("int") + 1)))) * channel)
+
+
 def nearest_code(vector: Column, codes: Column) -> Column:
     """Place of the code with the least |c|^2 - 2 v.c, the first of equals."""
     cost = F.transform(codes, lambda c, i: F.struct((dot(c, c) - 2 * dot(vector, c)).alias("d"), i.alias("i")))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import placed
+
 
 def hash_order(seed: int, *columns: str) -> Column:
     """A permutation key that depends on a seed, the same in any engine with md5."""
@@ -27,8 +30,14 @@ def allow_list(rows: DataFrame, allowed: DataFrame) -> DataFrame:
     return out.where(F.col("__named").isNull() | F.col("__ok")).drop("__named", "__ok")
 
 
-def map_speakers(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Local speakers by their global ids, their own where there is none; keeps the local one."""
+def map_speakers(rows: DataFrame, ids: DataFrame, similarity: DataFrame | None = None) -> DataFrame:
+    """Local speakers by their global ids, their own where there is none; keeps the local one.
+
+    similarity: (id, similarity) of clips to their voiceprints; adds speaker_similarity, null for
+    clips without one.
+    """
+    if similarity is not None:
+        rows = rows.join(similarity.select("id", F.col("similarity").alias("speaker_similarity")), "id", "left")
     named = ids.select(F.col("local").alias("speaker"), F.col("global").alias("__g"))
     return rows.join(named, "speaker", "left").withColumn("local_speaker", F.col("speaker")).withColumn("speaker", F.coalesce("__g", "speaker")).drop("__g")
 
@@ -43,31 +52,32 @@ def round_robin(rows: DataFrame, seed: int = 0) -> DataFrame:
 def cap_speakers(rows: DataFrame, budget: float, seed: int = 0) -> DataFrame:
     """Rows of speakers within the budget of seconds; of others the rows, in round-robin order, that still fit when their turn comes.
 
-    A row that doesn't fit is skipped and the next tried, so this is an ordered fold; only
-    speakers over the budget are folded, over ids and durations alone.
+    A row that doesn't fit is skipped and the next tried, so this is an ordered fold, which no window
+    expresses; only speakers over the budget are folded, in one pass over their turns and durations.
     """
     totals = rows.groupBy("speaker").agg(F.sum("duration").alias("__total"))
     marked = rows.join(totals, "speaker")
     over = round_robin(marked.where(F.col("__total") > budget), seed)
-    lists = over.groupBy("speaker").agg(F.array_sort(F.collect_list(F.struct("turn", "id", F.col("duration").cast("double").alias("d")))).alias("q"))
 
-    def take(acc: Column, x: Column) -> Column:
-        fits = acc["used"] + x["d"] <= budget
-        return F.struct(F.when(fits, acc["used"] + x["d"]).otherwise(acc["used"]).alias("used"), F.when(fits, F.array_append(acc["ids"], x["id"])).otherwise(acc["ids"]).alias("ids"))
+    def take(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table, used, kept = table.sort_by("turn"), 0.0, []
+        for d in table.column("d").to_pylist():
+            fits = used + d <= budget
+            used += d if fits else 0.0
+            kept.append(fits)
+        return table.filter(pa.array(kept, pa.bool_())).select(["speaker", "id"])
 
-    start = F.struct(F.lit(0.0).alias("used"), F.expr("cast(array() as array<string>)").alias("ids"))
-    kept = lists.select("speaker", F.explode(F.aggregate("q", start, take)["ids"]).alias("id"))
-    return marked.where(F.col("__total") <= budget).drop("__total").unionByName(marked.where(F.col("__total") > budget).drop("__total").join(kept, ["speaker", "id"], "left_semi"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    folded = over.select("speaker", "turn", "id", F.col("duration").cast("double").alias("d")).groupBy("speaker").applyInArrow(take, f"speaker {kinds['speaker']}, id {kinds['id']}")
+    return marked.where(F.col("__total") <= budget).drop("__total").unionByName(marked.where(F.col("__total") > budget).drop("__total").join(folded, ["speaker", "id"], "left_semi"))
 
 
 def hold_out(rows: DataFrame, share: float, seed: int = 0) -> DataFrame:
     """Adds split: whole recordings for dev, half to even of their number times the share, one at least where the share is positive and there are two."""
-    recordings = rows.select("recording").distinct()
-    n = F.count("*").over(Window.partitionBy())
-    wanted = F.rint(n * share)
-    least = F.when((F.lit(share) > 0) & (n > 1), 1).otherwise(0)
-    rank = F.row_number().over(Window.orderBy(hash_order(seed, "recording"), "recording"))
-    dev = recordings.withColumn("__r", rank).withColumn("__n", F.greatest(wanted, least)).where(F.col("__r") <= F.col("__n")).select("recording", F.lit("dev").alias("split"))
+    recordings = placed(rows.select("recording").distinct(), [hash_order(seed, "recording"), F.col("recording")], "__r")
+    n = recordings.agg(F.count("*").alias("__n"))
+    least = F.when((F.lit(share) > 0) & (F.col("__n") > 1), 1).otherwise(0)
+    dev = recordings.join(F.broadcast(n)).where(F.col("__r") < F.greatest(F.rint(F.col("__n") * share), least)).select("recording", F.lit("dev").alias("split"))  # one row
     return rows.join(dev, "recording", "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 
@@ -99,5 +109,13 @@ def systematic_sample(rows: DataFrame, n: int, order: list[str], by: list[str] |
     return out.where((F.col("__i") % F.col("__step") == 0) & (F.col("__i") < n * F.col("__step"))).drop("__step", "__i")
 
 
+def require_files(rows: DataFrame, listing: DataFrame, path: str = "audio_path") -> DataFrame:
+    """The rows, with an error at run time for one whose file isn't listed."""
+    there = listing.select(F.col(path)).distinct().withColumn("__there", F.lit(True))
+    out = rows.join(there, path, "left")
+    checked = F.when(F.col("__there"), F.col(path)).otherwise(F.raise_error(F.concat(F.lit("listed but missing: "), F.coalesce(path, F.lit("null")))).cast("string"))
+    return out.withColumn(path, checked).drop("__there")
+
+
 def missing_files(rows: DataFrame, listing: DataFrame, path: str = "audio_path") -> DataFrame:
     return rows.join(listing.select(path), path, "left_anti")

@@ -199,3 +199,21 @@ def peak_envelope(rows: DataFrame, keys: Sequence[str], value: str, ratio: int,
     top = peaks.groupBy(*keys).agg(F.percentile("peak", 0.999).alias("__top"))
     scaled = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("peak") / F.greatest(F.col("__top"), F.lit(1e-9))))
     return peaks.join(top, list(keys)).select(*keys, t, F.sqrt(scaled).alias("envelope"))
+
+
+def max_pool_dense(rows: DataFrame, grid: DataFrame, keys: Sequence[str], value: str, ratio: int = 2, t: str = "t") -> DataFrame:
+    """max_pool on every coarse frame of the grid (keys, t); 0 where rows end before it."""
+    return grid.join(max_pool(rows, keys, value, ratio, t), [*keys, t], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+
+
+def by_cardinality(probabilities: Column, mapping: Sequence[Sequence[int]]) -> Column:
+    """struct<none, one, more>: probabilities of classes, each a set of speakers, summed by how many speakers a class has."""
+    sizes = F.array(*[F.lit(sum(m)) for m in mapping])
+    total = lambda keep: F.aggregate(F.zip_with(probabilities, sizes, lambda p, n: F.when(keep(n), p).otherwise(0.0)), F.lit(0.0), lambda s, x: s + x)
+    return F.struct(total(lambda n: n == 0).alias("none"), total(lambda n: n == 1).alias("one"), total(lambda n: n >= 2).alias("more"))
+
+
+def standardise(rows: DataFrame, by: Sequence[str], value: str, eps: float = 1e-5, least: float = 2.0**-24) -> DataFrame:
+    """Adds normal: a feature less its mean over its deviation, which is the sample's and at least a little."""
+    stats = rows.groupBy(*by).agg(F.avg(value).alias("__m"), F.sqrt(F.greatest(F.coalesce(F.var_samp(value), F.lit(0.0)), F.lit(least))).alias("__s"))
+    return rows.join(stats, list(by)).withColumn("normal", (F.col(value) - F.col("__m")) / (F.col("__s") + eps)).drop("__m", "__s")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import light_spelling, loose_key, phonetic_key, typing_distance
+from .ranking import placed
 
 
 def words(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -19,17 +20,34 @@ def counts(tokens: DataFrame, least: int = 1) -> DataFrame:
 
 
 def index(lexicon: DataFrame) -> DataFrame:
-    """Adds code: the place by falling count, then word.
+    """Adds code: the place by falling count, then word."""
+    return placed(lexicon, [F.col("n").desc(), F.col("word")], "code").select("word", "n", "code")
 
-    Ranks within hash parts and the parts' offsets would not keep the order, so codes come of a
-    range-partitioned sort: a count of each range, and a rank inside it.
-    """
-    ordered = lexicon.repartitionByRange(F.col("n").desc(), F.col("word")).withColumn("__p", F.spark_partition_id())
-    own = ordered.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(F.col("n").desc(), "word")))
-    sizes = own.groupBy("__p").agg(F.count("*").alias("__c"))
-    before = F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row for each part
-    offsets = sizes.select("__p", before.alias("__b"))
-    return own.join(offsets, "__p").select("word", "n", (F.col("__b") + F.col("__r") - 1).alias("code"))
+
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """(word, n) of lines word<TAB>count; a missing count is 1, lines without a word are left out, and of a repeated word the last line counts."""
+    lines = spark.read.text(path).withColumn("__at", F.monotonically_increasing_id())
+    parts = F.split("value", "\t", 2)
+    rows = lines.select(F.get(parts, F.lit(0)).alias("word"), F.coalesce(F.nullif(F.trim(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))), F.lit("")).cast("long"), F.lit(1)).alias("n"), "__at")
+    return rows.where("word <> ''").groupBy("word").agg(F.max_by("n", "__at").alias("n"))
+
+
+def read_bigrams(spark: SparkSession, path: str) -> DataFrame:
+    """(first, second, n) of lines with three fields; other lines are left out."""
+    parts = spark.read.text(path).select(F.split("value", "\t").alias("p")).where(F.size("p") == 3)
+    return parts.select(F.col("p")[0].alias("first"), F.col("p")[1].alias("second"), F.col("p")[2].cast("long").alias("n"))
+
+
+def write_lexicon(indexed: DataFrame, path: str) -> None:
+    """Lines word<TAB>count in the order of the codes."""
+    lines = indexed.repartitionByRange("code").sortWithinPartitions("code")
+    lines.select(F.concat_ws("\t", "word", F.col("n").cast("string"))).write.mode("overwrite").text(path)
+
+
+def write_bigrams(encoded: DataFrame, path: str) -> None:
+    """Lines of the two codes and the count, sorted."""
+    lines = encoded.repartitionByRange("i", "j").sortWithinPartitions("i", "j", "n")
+    lines.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in ("i", "j", "n")])).write.mode("overwrite").text(path)
 
 
 def bigrams(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -45,17 +63,27 @@ def encode_bigrams(pairs: DataFrame, lexicon: DataFrame) -> DataFrame:
     return pairs.join(a, "first").join(b, "second").select("i", "j", "n")
 
 
-def context_scores(pairs: DataFrame, lexicon: DataFrame, weight: float = 0.3) -> DataFrame:
-    """Pairs with the smoothed log-probability of the second word and its association with the first.
+#: Fixed value: added to observed and expected counts of pairs.
+PAIR_PRIOR = 1.0
+
+
+def norm(lexicon: DataFrame) -> DataFrame:
+    """One row: what counts plus one are divided by."""
+    return lexicon.agg((F.coalesce(F.sum("n"), F.lit(0)) + F.count("*") + 1).alias("norm"))
+
+
+def context_scores(wanted: DataFrame, lexicon: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs (first, second) that are asked for, with n, how often they were seen, 0 for never, and their score.
 
-    The association is the positive part of the pair's log lift.
+    The score is the smoothed log-probability of the second word, and how much more often than by
+    chance it followed the first.
     """
-    total = lexicon.agg(F.sum("n").alias("total"), F.count("*").alias("v"))
     a, b = lexicon.select(F.col("word").alias("first"), F.col("n").alias("na")), lexicon.select(F.col("word").alias("second"), F.col("n").alias("nb"))
-    rows = pairs.join(a, "first").join(b, "second").join(F.broadcast(total))  # one row
-    logp = F.ln((F.col("nb") + 1) / (F.col("total") + F.col("v")))
-    lift = F.greatest(F.lit(0.0), F.ln(F.col("n") * F.col("total") / (F.col("na") * F.col("nb"))))
-    return rows.select("first", "second", "n", (logp + weight * lift).alias("score"))
+    seen = pairs.select("first", "second", F.col("n").alias("__n"))
+    rows = wanted.select("first", "second").distinct().join(seen, ["first", "second"], "left").join(a, "first", "left").join(b, "second", "left").join(F.broadcast(norm(lexicon)))  # one row
+    n, p = F.coalesce("__n", F.lit(0)), (F.coalesce("nb", F.lit(0)) + 1) / F.col("norm")
+    score = F.ln(p) + F.ln((n + PAIR_PRIOR) / (F.coalesce("na", F.lit(0)) * p + PAIR_PRIOR))
+    return rows.select("first", "second", n.alias("n"), score.alias("score"))
 
 
 def keyed(lexicon: DataFrame) -> DataFrame:

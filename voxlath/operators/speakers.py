@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, unit
 from ..sources.staging import staged
+from .ranking import placed
 
 
 def centroids(clips: DataFrame, by: str = "local_speaker", weight: str = "duration", vector: str = "embedding") -> DataFrame:
@@ -60,18 +62,57 @@ def average_linkage(vectors: np.ndarray, limit: float) -> np.ndarray:
     return label
 
 
+#: Voiceprints of a block; a task compares two blocks by one matrix product.
+BLOCK = 2000
+
+
+def near_links(prints: DataFrame, same: float, name: str = "local_speaker", vector: str = "centroid", block: int = BLOCK) -> DataFrame:
+    """Links (u, v) between voiceprints of a similarity of at least same, enough to make all components.
+
+    Names are dealt to blocks by hash, and every two blocks meet in one task, once; a task links
+    what its matrix product finds, leaving out links between what it has linked already.
+    """
+    n = prints.count()
+    blocks = max(1, -(-n // block))
+    own = prints.select(F.col(name).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("x"), F.pmod(F.xxhash64(name), F.lit(blocks)).cast("int").alias("b"))
+    cell = lambda other: F.least(F.col("b"), other) * blocks + F.greatest(F.col("b"), other)
+    dealt = own.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), cell)))
+    kind = prints.schema[name].dataType.simpleString()
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        ids, b = table.column("id"), table.column("b").to_numpy()
+        x = np.array(table.column("x").to_pylist(), dtype=float)
+        near = x @ x.T >= same - 1e-12
+        if key[0].as_py() // blocks != key[0].as_py() % blocks:
+            near &= b[:, None] != b[None, :]
+        root, pairs = list(range(len(x))), []
+
+        def of(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        for i, k in zip(*(p.tolist() for p in np.nonzero(np.triu(near, 1)))):
+            if (a := of(i)) != (c := of(k)):
+                root[max(a, c)] = min(a, c)
+                pairs.append((i, k))
+        take = lambda places: ids.take(pa.array(places, pa.int64()))
+        return pa.table({"u": take([k for _, k in pairs]), "v": take([i for i, _ in pairs])})
+
+    return dealt.groupBy("cell").applyInArrow(compare, f"u {kind}, v {kind}")
+
+
 def clusters(prints: DataFrame, same: float, min_seconds: float, name: str = "local_speaker") -> DataFrame:
     """(name, cluster): cluster is the least name of its members.
 
     Two clusters merge only if some pair across them is within the limit, so clusters never leave
     the components of the graph of such pairs, and each component is clustered on its own, exactly.
-    Pairs come from blocks of names against blocks of names; voiceprints with little speech stay alone.
+    Voiceprints with little speech stay alone.
     """
     prints = staged(prints.select(name, "seconds", "centroid"), "voiceprints")
     trusted = prints.where(F.col("seconds") >= min_seconds).select(name, "centroid")
-    near = trusted.alias("a").join(trusted.alias("b"), (F.col(f"a.{name}") < F.col(f"b.{name}")) & (dot(F.col("a.centroid"), F.col("b.centroid")) >= same - 1e-12))
-    links = near.select(F.col(f"b.{name}").alias("u"), F.col(f"a.{name}").alias("v"))
-    parts = connected(links)
+    parts = connected(near_links(trusted, same, name))
     kind = trusted.schema[name].dataType.simpleString()
 
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -103,31 +144,31 @@ def connected(links: DataFrame, rounds: int = 30) -> DataFrame:
 def rank_clusters(members: DataFrame, cluster: str = "cluster", seconds: str = "seconds", first: str = "first") -> DataFrame:
     """(cluster, rank): 0 for the most speech, ties by the first member."""
     totals = members.groupBy(cluster).agg(F.sum(seconds).alias("total"), F.min(first).alias("__first"))
-    return totals.select(cluster, "total", (F.row_number().over(Window.orderBy(F.col("total").desc(), "__first")) - 1).alias("rank"))
+    return placed(totals, [F.col("total").desc(), F.col("__first")], "rank").select(cluster, "total", "rank")
 
 
 def stable_ids(members: DataFrame, previous: DataFrame) -> DataFrame:
     """(cluster, speaker): clusters by speech take the old id with most of their speech that is left, others new numbers.
 
-    members: (local_speaker, cluster, seconds, rank); previous: (local_speaker, speaker).  The claim
-    is an ordered fold over the clusters' candidate lists, a table of the size of the registry.
+    members: (local_speaker, cluster, seconds, rank); previous: (local_speaker, speaker).  Clusters
+    ask for their best id in rounds; an id stays with the cluster of the best rank that has asked
+    so far, and is out of reach for those behind it.  When no two ask for the same id, everyone has
+    what taking turns by rank would give.
     """
-    votes = members.join(previous, "local_speaker").groupBy("cluster", "speaker").agg(F.sum(F.col("seconds") + 1e-3).alias("v"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("v")).alias("v"), "speaker"))), lambda x: x["speaker"])
-    lists = members.groupBy("cluster").agg(F.min("rank").alias("rank")).join(votes.groupBy("cluster").agg(ordered.alias("old")), "cluster", "left")
-    whole = lists.groupBy().agg(F.array_sort(F.collect_list(F.struct("rank", "cluster", F.coalesce("old", F.array().cast("array<string>")).alias("old")))).alias("c"))
-    kind = members.schema["cluster"].dataType.simpleString()
-    state = f"array<struct<cluster: {kind}, speaker: string>>"
-
-    def claim(acc: Column, x: Column) -> Column:
-        free = F.filter(x["old"], lambda o: ~F.exists(acc, lambda a: F.coalesce(a["speaker"] == o, F.lit(False))))
-        return F.array_append(acc, F.struct(x["cluster"].alias("cluster"), F.get(free, F.lit(0)).alias("speaker")))
-
-    claimed = whole.select(F.posexplode(F.aggregate("c", F.expr(f"cast(array() as {state})"), claim)).alias("pos", "x")).select("pos", "x.*")
+    votes = members.join(previous, "local_speaker").groupBy("cluster", "rank", "speaker").agg(F.sum(F.col("seconds") + 1e-3).alias("v"))
+    left = staged(votes, "votes")
+    while True:
+        asks = left.groupBy("cluster", "rank").agg(F.min_by("speaker", F.struct(-F.col("v"), "speaker")).alias("speaker"))
+        holders = asks.groupBy("speaker").agg(F.min("rank").alias("__holder"), F.count("*").alias("__asked"))
+        if not holders.where("__asked > 1").take(1):
+            break
+        left = staged(left.join(holders, "speaker", "left").where(F.col("__holder").isNull() | (F.col("rank") <= F.col("__holder"))).drop("__holder", "__asked"), "votes")
+    ranks = members.groupBy("cluster").agg(F.min("rank").alias("rank"))
+    claimed = ranks.join(asks.select("cluster", "speaker"), "cluster", "left")
     used = previous.where(F.col("speaker").rlike(r"^.\d+$")).agg(F.coalesce(F.max(F.substring("speaker", 2, 20).cast("long")), F.lit(0)).alias("top"))
-    new = F.sum(F.col("speaker").isNull().cast("long")).over(Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    numbered = claimed.withColumn("__n", new).join(F.broadcast(used))  # one row
-    return numbered.select("cluster", F.coalesce("speaker", F.concat(F.lit("S"), F.lpad((F.col("top") + F.col("__n")).cast("string"), 4, "0"))).alias("speaker"))
+    new = placed(claimed.where("speaker is null"), [F.col("rank"), F.col("cluster")], "n").join(F.broadcast(used))  # one row
+    number = F.concat(F.lit("S"), F.lpad((F.col("top") + F.col("n") + 1).cast("string"), 4, "0"))
+    return claimed.where("speaker is not null").select("cluster", "speaker").unionByName(new.select("cluster", number.alias("speaker")))
 
 
 def voice_class(p_female: Column) -> Column:
@@ -154,3 +195,9 @@ def top_clips(clips: DataFrame, by: str, n: int, size: str = "duration", tie: st
     """The n largest rows of each group."""
     w = Window.partitionBy(by).orderBy(F.col(size).desc(), tie)
     return clips.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
+
+
+def gender_mean(clips: DataFrame, scores: DataFrame, n: int = 8, by: str = "local_speaker") -> DataFrame:
+    """(by, p_female): the mean score of the n longest clips of a speaker, rounded; scores: (id, p)."""
+    best = top_clips(clips, by, n)
+    return best.join(scores, "id").groupBy(by).agg(F.round(F.avg("p"), 3).alias("p_female"))

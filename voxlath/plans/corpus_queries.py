@@ -223,13 +223,13 @@ def result_group_means(spark, d):
 
 
 def paired_diffs(spark, d):
-    p = ev.paired(ev.grouped(results(spark, d)).where("group = 'all'"), "click", "cer")
+    p = ev.paired(ev.grouped(results(spark, d)).where("group = 'all'"), "click", "cer", "item")
     return p.groupBy("model").agg(F.count("*").alias("n"), F.round(F.avg("diff"), 6).alias("diff"), F.round(ev.win_rate("cer"), 6).alias("wins"))
 
 
 def bootstrap_ci(spark, d):
-    out = ev.bootstrap(results(spark, d), "cer", ["model"], "item", 200)
-    return out.select("model", "n", F.round("mean", 6).alias("mean"), "low", "high", ev.significance(F.col("low") - 0.1, F.col("high") - 0.1, True).alias("against_tenth"))
+    out = ev.bootstrap(results(spark, d), "cer", ["model"], "item")
+    return out.select("model", "n", *[F.round(c, 6).alias(c) for c in ("mean", "low", "high")], ev.significance(F.col("low") - 0.1, F.col("high") - 0.1, True).alias("against_tenth"))
 
 
 def best_model_per_group(spark, d):
@@ -288,8 +288,8 @@ def lexicon_counts(spark, d):
 
 def bigram_pmi(spark, d):
     docs = table(spark, d, "documents")
-    lexicon = lx.counts(lx.words(docs), 5)
-    out = lx.context_scores(lx.bigrams(docs).where("n >= 3"), lexicon)
+    pairs = lx.bigrams(docs).where("n >= 3")
+    out = lx.context_scores(pairs, lx.counts(lx.words(docs), 5), pairs)
     return out.select("first", "second", "n", F.round("score", 6).alias("score"))
 
 
@@ -353,8 +353,30 @@ toks AS (SELECT list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), l
 lex AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM toks) GROUP BY word)
 """
 
+_PAIRED = _WORDS + """, l AS (SELECT * FROM lex WHERE n >= 5), t AS (SELECT sum(n) + count(*) + 1 AS norm FROM l), bg AS (SELECT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM toks)), bc AS (SELECT a, b, count(*) AS n FROM bg GROUP BY 1, 2 HAVING count(*) >= 3)"""
+_P = "((coalesce(lb.n, 0) + 1)::DOUBLE / norm::DOUBLE)"
+_SCORE = f"round(ln({_P}) + ln((bc.n + 1)::DOUBLE / (coalesce(la.n, 0) * {_P} + 1)), 6)"
+#: A reproducible draw, and the drawn weight of a resample: how many steps of a Poisson(1) distribution lie below it.
+DRAW = "(('0x' || substr(md5({}), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE"
 
-def _key_sql(column: str) -> str:
+
+def poisson(u: str) -> str:
+    steps, p, total = [], 0.36787944117144233, 0.0
+    for k in range(1, 9):
+        total += p
+        steps.append(f"({u} > {total!r}::DOUBLE)::INT")
+        p /= k
+    return " + ".join(steps)
+
+
+#: Speaking weight and estimated frames of every document.
+WEIGHED = r"""WITH c AS (SELECT doc_id, text, length(text) AS n, len(regexp_extract_all(text, '[\p{M}\x{0640}]')) AS m, len(regexp_extract_all(text, '[\p{P}\p{S}]')) AS p, len(regexp_extract_all(text, '\p{Z}')) AS z, len(regexp_extract_all(text, '\p{N}')) AS d,
+      regexp_replace(text, '[\x00-\x{02AF}\x{0640}\p{M}\p{P}\p{S}\p{Z}\p{N}]', '', 'g') AS l FROM documents),
+      w AS (SELECT doc_id, n - m + p * -0.5::DOUBLE + z * -0.8::DOUBLE + d * 2.5::DOUBLE + SCRIPTS AS w FROM c), r AS (SELECT *, w / (14.1::DOUBLE / 25) AS raw FROM w),
+      est AS (SELECT r.doc_id, w, n, greatest(1, floor(CASE WHEN raw < 50 THEN 50 * pow(raw / 50, 1.0::DOUBLE / 3) ELSE raw END))::BIGINT AS frames FROM r JOIN c USING (doc_id))""".replace("SCRIPTS", " + ".join(f"len(regexp_extract_all(l, '[{ranges}]')) * {weight - 1!r}::DOUBLE" for weight, ranges in tx.SCRIPTS.items()))
+
+
+def key_sql(column: str) -> str:
     """Spelling rules restated without look-around."""
     out = f"lower({column})"
     for pattern, to in (("chh|ch|c", "c"), ("ph", "f"), ("[vw]", "b"), ("z", "j"), ("q", "k"), ("x", "ks"), ("sh", "s"), ("ee|ii", "i"), ("oo|uu", "u"), ("ou", "au"), ("ei", "ai"), ("m([pbf])", r"n\1")):
@@ -419,7 +441,7 @@ ORACLES = {
     "first_match": "SELECT doc_id, source AS speaker, ref FROM documents JOIN (SELECT source, min(doc_id) AS ref FROM documents WHERE n_chars % 3 = 0 GROUP BY 1) USING (source)",
     "worklist_cross": "SELECT n_name AS model, count(*) AS n, sum(s_suppkey)::BIGINT AS items FROM nation, supplier GROUP BY 1",
     "preference_tally": f"""WITH {ROUNDS}, s AS (SELECT vote, slot, model FROM rounds JOIN re USING (round_id) WHERE blind AND vote IS NOT NULL), t AS (SELECT model, count(*) FILTER (slot = vote) AS wins, count(*) AS played, count(*) FILTER (vote = 'tie') AS ties FROM s GROUP BY 1)
-      SELECT *, CASE WHEN played > ties THEN round(wins / (played - ties), 3) END AS win_rate FROM t""",
+      SELECT *, round(wins / played, 3) AS win_rate FROM t""",
     "pairwise_wins": f"WITH {ROUNDS}, s AS (SELECT * FROM rounds JOIN re USING (round_id) WHERE blind AND vote IS NOT NULL AND vote <> 'tie') SELECT a.model AS winner, b.model AS loser, count(*) AS n FROM s a JOIN s b ON a.round_id = b.round_id AND a.slot = a.vote AND b.slot <> b.vote AND a.model <> b.model GROUP BY 1, 2",
     "blind_slots": f"WITH {ROUNDS} SELECT CASE WHEN blind AND vote IS NULL THEN '?' ELSE model END AS model, count(*) AS n FROM rounds JOIN re USING (round_id) GROUP BY 1",
     "recall_grid": f"""WITH {FRAMES}, o AS (SELECT *, coalesce(max(p) OVER (PARTITION BY rec, t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW), 0.0) AS other FROM frames), e AS (SELECT rec, k, t // 9 AS event, max(p) AS p, max(other) AS other FROM o WHERE t % 9 < 4 GROUP BY 1, 2, 3),
@@ -429,13 +451,15 @@ ORACLES = {
       j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS k, CASE WHEN a.o_orderkey IS NULL THEN 'added' WHEN b.o_orderkey IS NULL THEN 'not_in_input' WHEN a.price IS NOT DISTINCT FROM b.price THEN 'unchanged' ELSE 'updated' END AS change FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey)
       SELECT change, count(*) AS n, sum(k)::BIGINT AS keys FROM j GROUP BY 1""",
     "lexicon_counts": f"WITH {_WORDS} SELECT word, n, row_number() OVER (ORDER BY n DESC, word) - 1 AS code FROM lex WHERE n >= 5",
-    "bigram_pmi": f"""WITH {_WORDS}, l AS (SELECT * FROM lex WHERE n >= 5), t AS (SELECT sum(n) AS total, count(*) AS v FROM l), bg AS (SELECT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM toks)), bc AS (SELECT a, b, count(*) AS n FROM bg GROUP BY 1, 2 HAVING count(*) >= 3)
-      SELECT a AS first, b AS second, bc.n, round(ln((lb.n + 1)::DOUBLE / (total + v)::DOUBLE) + 0.3::DOUBLE * greatest(0.0::DOUBLE, ln((bc.n * total)::DOUBLE / (la.n * lb.n)::DOUBLE)), 6) AS score FROM t, bc JOIN l la ON la.word = a JOIN l lb ON lb.word = b""",
-    "phonetic_buckets": f"""WITH {_WORDS}, k0 AS (SELECT word, {_key_sql('word')} AS k FROM lex WHERE regexp_matches(word, '^[a-z]+$')), k AS (SELECT word, CASE WHEN length(k) > 1 AND k LIKE '%a' THEN substr(k, 1, length(k) - 1) ELSE k END AS key FROM k0)
+    "bigram_pmi": f"WITH {_PAIRED} SELECT a AS first, b AS second, bc.n, {_SCORE} AS score FROM t, bc LEFT JOIN l la ON la.word = a LEFT JOIN l lb ON lb.word = b",
+    "bigram_context": f"""WITH {_PAIRED}, ask AS (SELECT b AS a, a AS b FROM bc), w AS (SELECT ask.a, ask.b, coalesce(bc.n, 0) AS n FROM ask LEFT JOIN bc ON bc.a = ask.a AND bc.b = ask.b)
+      SELECT bc.a AS first, bc.b AS second, bc.n, {_SCORE} AS score FROM t, w bc LEFT JOIN l la ON la.word = bc.a LEFT JOIN l lb ON lb.word = bc.b""",
+    "bootstrap_ci": f"""WITH {RESULTS}, dw AS (SELECT model, cer AS d, r.range AS r, {DRAW.format("'0:' || r.range || ':' || item || ':' || model")} AS u FROM results, range(2000) r), w AS (SELECT *, {poisson("u")} AS w FROM dw), m AS (SELECT model, r, sum(w * d) / sum(w) AS m FROM w GROUP BY 1, 2 HAVING sum(w) > 0),
+      ci AS (SELECT model, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM m GROUP BY 1)
+      SELECT r.model, count(*) AS n, round(avg(cer), 6) AS mean, round(any_value(low), 6) AS low, round(any_value(high), 6) AS high, CASE WHEN any_value(high) - 0.1 < 0 THEN 'good' WHEN any_value(low) - 0.1 > 0 THEN 'bad' END AS against_tenth FROM results r JOIN ci USING (model) GROUP BY 1""",
+    "phonetic_buckets": f"""WITH {_WORDS}, k0 AS (SELECT word, {key_sql('word')} AS k FROM lex WHERE regexp_matches(word, '^[a-z]+$')), k AS (SELECT word, CASE WHEN length(k) > 1 AND k LIKE '%a' THEN substr(k, 1, length(k) - 1) ELSE k END AS key FROM k0)
       SELECT key, count(*) AS n, count(DISTINCT substr(key, 1, 1) || replace(substr(key, 2), 'a', '')) AS n_loose, min(word) AS first FROM k GROUP BY key""",
-    "duration_estimate": r"""WITH c AS (SELECT doc_id, len(regexp_extract_all(text, '\p{M}')) AS m, len(regexp_extract_all(text, '[\p{P}\p{S}]')) AS p, len(regexp_extract_all(text, '\p{Z}')) AS z, len(regexp_extract_all(text, '\p{N}')) AS d, length(text) AS n FROM documents),
-      w AS (SELECT doc_id, p * 0.5::DOUBLE + z * 0.2::DOUBLE + d * 3.5::DOUBLE + (n - m - p - z - d)::DOUBLE AS w FROM c), r AS (SELECT *, w / (14.1::DOUBLE / 25) AS raw FROM w)
-      SELECT doc_id, round(w, 3) AS weight, greatest(1, floor(CASE WHEN raw < 50 THEN 50 * pow(raw / 50, 1.0::DOUBLE / 3) ELSE raw END))::BIGINT AS frames FROM r""",
+    "duration_estimate": WEIGHED + " SELECT doc_id, round(w, 3) AS weight, frames FROM est",
     "int8_quantise": """WITH f AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings), s AS (SELECT vec_id, greatest(max(abs(v)) / 127, 1e-30) AS scale FROM f GROUP BY 1),
       q AS (SELECT vec_id, scale, i, greatest(-127, least(127, round_even(v / scale, 0)))::BIGINT AS q FROM f JOIN s USING (vec_id)) SELECT vec_id, round(scale, 9) AS scale, sum(q)::BIGINT AS total, sum(q * i)::BIGINT AS weighted FROM q GROUP BY 1, 2""",
 }

@@ -15,6 +15,7 @@ from ..operators import intervals as iv
 from ..operators import lexicon as lx
 from ..operators import segments as sg
 from ..sources import ingest, manifests, transcripts
+from .corpus_queries import key_sql
 from .fixtures import FRAMES, frames, table
 
 
@@ -196,5 +197,12 @@ ORACLES = {
       sp AS (SELECT rec, k, 0::BIGINT AS s, 720::BIGINT AS e, coalesce(gaps, []) AS gaps FROM l UNION ALL
         SELECT rec, k, CASE side WHEN 0 THEN s ELSE cut.b END, CASE side WHEN 0 THEN cut.a ELSE e END, gaps FROM (SELECT *, list_max(list_filter(gaps, lambda x: x.a > s AND x.b < e)) AS cut FROM sp WHERE e - s > 40), (SELECT unnest([0, 1]) AS side) WHERE cut IS NOT NULL)
       SELECT rec, k, s AS start, e AS "end" FROM sp WHERE e - s <= 40""",
+    "prompt_texts": r"""WITH a AS (SELECT conv_id, turn, translate('Nice to meet you. ' || regexp_replace(text, '^ +| +$', '', 'g'), '（）' || chr(9), '() ') AS t FROM conversations), b AS (SELECT conv_id, turn, regexp_replace(regexp_replace(t, '[\r\n]', '', 'g'), '  +', ' ', 'g') AS t FROM a),
+      c AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(t, '([一-鿿])\s+', '\1', 'g'), '\s+([一-鿿])', '\1', 'g')) AS t FROM b)
+      SELECT conv_id, turn, md5(CASE WHEN t = '' OR regexp_matches(t, '[;:,.!?…)\]}"''“”‘’；：，。！？、）】।॥]$') THEN t ELSE t || '।' END) AS digest FROM c""",
+    "spelling_candidates": f"""WITH toks AS (SELECT list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM documents), lex AS (SELECT word, count(*) AS n, {key_sql('any_value(word)')} AS k FROM (SELECT unnest(w) AS word FROM toks) WHERE regexp_matches(word, '^[a-z]+$') GROUP BY word),
+      ky AS (SELECT word, n, CASE WHEN length(k) > 1 AND k LIKE '%a' THEN substr(k, 1, length(k) - 1) ELSE k END AS key FROM lex), lo AS (SELECT *, substr(key, 1, 1) || replace(substr(key, 2), 'a', '') AS loose FROM ky),
+      ex AS (SELECT key, count(*) AS c, sum(n) AS s FROM lo GROUP BY key), al AS (SELECT loose, count(*) AS c, sum(n) AS s FROM lo GROUP BY loose)
+      SELECT word AS typed, (CASE WHEN ex.c >= 3 THEN ex.c ELSE al.c END)::BIGINT AS n, (CASE WHEN ex.c >= 3 THEN ex.s ELSE al.s END)::BIGINT AS total FROM lo JOIN ex USING (key) JOIN al USING (loose)""",
     "probe_frames": "SELECT conv_id, turn, floor((turn * 0.37::DOUBLE) / 0.01::DOUBLE)::BIGINT AS first, ceil((turn * 0.37::DOUBLE + 0.111::DOUBLE) / 0.01::DOUBLE)::BIGINT AS last FROM conversations",
 }

@@ -64,3 +64,16 @@ def invalidation(old: DataFrame, new: DataFrame) -> DataFrame:
     b = new.select("id", F.struct("size", "modified").alias("__g"), F.col("transcript_sha1").alias("__u"))
     stage = F.when(F.col("__f").isNull() | ~F.col("__f").eqNullSafe(F.col("__g")), "detect").when(~F.col("__t").eqNullSafe(F.col("__u")), "select").otherwise("none")
     return b.join(a, "id", "left").select("id", stage.alias("stage"))
+
+
+def sidecar_metadata(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds meta: the object of the metadata file, as a map of strings, empty where there is none; an error at run time for one that holds no object.
+
+    files: (path, text), the metadata files' whole texts.
+    """
+    texts = files.select(F.col("path").alias("sidecar"), F.col("text").alias("__json"))
+    parsed = F.from_json("__json", "map<string,string>")
+    bad = F.raise_error(F.concat("sidecar", F.lit(" must hold a JSON object"))).cast("map<string,string>")
+    is_object = F.col("__json").rlike(r"^\s*\{") & F.try_parse_json("__json").isNotNull()
+    meta = F.when(F.col("__json").isNull(), F.expr("cast(map() as map<string,string>)")).when(is_object, parsed).otherwise(bad)
+    return rows.join(texts, "sidecar", "left").withColumn("meta", meta).drop("__json")

@@ -73,3 +73,40 @@ def hub_snapshot(path: Column) -> Column:
     """struct<id, revision> of a model cache's snapshot path; null for other paths."""
     pattern = r"models--([^/]+)/snapshots/([0-9a-f]+)"
     return F.when(path.rlike(pattern), F.struct(F.replace(F.regexp_extract(path, pattern, 1), F.lit("--"), F.lit("/")).alias("id"), F.regexp_extract(path, pattern, 2).alias("revision")))
+
+
+def documents(rows: DataFrame, key: str, columns: list[str], out: str = "document") -> DataFrame:
+    """(key, document): each row's columns as one JSON object, nulls included, as summaries and reports are kept."""
+    return rows.select(key, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias(out))
+
+
+def write_documents(rows: DataFrame, path: str, key: str, columns: list[str]) -> None:
+    """One JSON document a line, in folders by key."""
+    documents(rows, key, columns).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def speakers_document(registry: DataFrame, local: DataFrame) -> DataFrame:
+    """One row: the registry's document, speakers by id and local speakers by the id they have; both are small tables."""
+    one = registry.select("speaker", F.struct("seconds", "clips", "recordings", "voice").alias("s")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("speaker", "s")))).alias("speakers"))
+    names = local.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("local_speaker", "speaker")))).alias("local_to_global"))
+    return one.join(F.broadcast(names)).select(F.to_json(F.struct("speakers", "local_to_global")).alias("document"))  # one row each
+
+
+class DetectorCache:
+    """Detector tables by recording: each has its own folder, which a later run of a recording replaces."""
+
+    def __init__(self, spark: SparkSession, path: str, name: str):
+        self._spark, self._path = spark, f"{path.rstrip('/')}/{name}"
+
+    def put(self, rows: DataFrame, fingerprint: Column, rec: str = "rec") -> None:
+        """Replace the recordings that rows have; others stay."""
+        stored = rows.withColumn("fingerprint", fingerprint).withColumn("recording", F.col(rec).cast("string"))
+        stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("recording").parquet(self._path)
+
+    def get(self, wanted: DataFrame | None = None, rec: str = "rec") -> DataFrame:
+        """Rows of the wanted recordings (rec, fingerprint) whose fingerprint is the stored one; of all without wanted."""
+        rows = self._spark.read.parquet(self._path)
+        if wanted is not None:
+            keys = wanted.select(F.col(rec).cast("string").alias("recording"), "fingerprint").distinct()
+            rows = rows.join(keys, ["recording", "fingerprint"], "left_semi")
+        return rows.drop("recording", "fingerprint")
