@@ -21,7 +21,11 @@ def lloyd_max(values: np.ndarray, codes: int = 16, rounds: int = 25) -> np.ndarr
 
 
 def fit_codebooks(rows: DataFrame, by: str, value: str, codes: int = 16, bins: int = 4096) -> DataFrame:
-    """(by, codebook): fitted on a histogram of each group's values, which is bounded whatever the group's size."""
+    """(by, codebook): fitted on a histogram of each group's values, which is bounded whatever the group's size.
+
+    A bin stands for its values by their mean and number, so a value moves by less than
+    (largest - least) / bins; with no two different values in a bin the fit is exact.
+    """
     span = rows.groupBy(by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     at = F.least(F.lit(bins - 1), F.floor((F.col(value) - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-30)) * bins))
     hist = rows.join(span, by).groupBy(by, at.alias("b")).agg(F.count("*").alias("n"), F.avg(value).alias("v"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import frames as fr
 from ..operators import segments as sg
+from ..streaming.incremental import sessions
 from .fixtures import ENERGY, FRAMES, energy, frames, frames_energy
 
 #: Thresholds of the detectors, and frame counts of the rules, that suit the fixture's density.
@@ -188,7 +189,7 @@ def session_merge(spark, d):
     from .fixtures import table
 
     e = table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    s = e.groupBy("user_id", F.session_window("ts", "12 hours")).agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+    s = sessions(e, "user_id", "ts", "12 hours", [F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last")])
     return s.select("user_id", "n", F.unix_timestamp("first").alias("first_s"), F.unix_timestamp("last").alias("last_s"))
 
 

@@ -21,19 +21,28 @@ SCORES = "model string, item string, asr string, sim double, utmos double"
 
 
 def run(files: DataFrame, provider: Callable[[pd.DataFrame], pd.DataFrame], schema: str, key: str = "rec") -> DataFrame:
-    """Provider rows, and one row with error for each input row that the provider raised on."""
+    """Provider rows, and one row with error for each input row that the provider raised on.
+
+    The provider gets whole batches; only a batch that raised is given to it again row by row.
+    """
     names = [c.split()[0] for c in schema.split(", ")]
     full = schema + (f", {key} string" if key not in names else "") + ", error string"
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = [c.split()[0] for c in full.split(", ")]
         for batch in batches:
+            try:
+                yield provider(batch).assign(error=None)[columns]
+                continue
+            except Exception:  # some row of the batch
+                pass
             for i in range(len(batch)):
                 row = batch.iloc[i : i + 1]
                 try:
                     out = provider(row).assign(error=None)
                 except Exception as e:
                     out = pd.DataFrame({n: [None] for n in names}).assign(**{key: str(row[key].iloc[0]), "error": f"{type(e).__name__}: {e}"})
-                yield out[[c.split()[0] for c in full.split(", ")]]
+                yield out[columns]
 
     return files.mapInPandas(each, full)
 
