@@ -62,3 +62,22 @@ def residual_codes(vectors: DataFrame, vector: str, books: list[list[list[float]
         out = out.withColumn("__rest", F.zip_with("__rest", F.element_at(codes, F.col(f"__c{stage}") + 1), lambda a, b: a - b))
         names.append(F.col(f"__c{stage}"))
     return out.withColumn("codes", F.array(*names)).drop("__rest", *[f"__c{s}" for s in range(len(books))])
+
+
+def fitted_scale(values: Column, book: Column, rounds: int = 2, least: float = 1e-8) -> Column:
+    """struct<scale, codes> of a group of values: codes of the values over the scale, and the scale that fits the codes best, in turns.
+
+    The scale begins as the largest magnitude; a value's code is the nearest, the lower of equals.
+    """
+    nearest = lambda scale: F.transform(values, lambda v: F.array_min(F.transform(book, lambda c, i: F.struct(F.abs(c - v / scale).alias("d"), i.alias("i"))))["i"])
+
+    def state(scale: Column) -> Column:
+        return F.element_at(F.transform(F.array(F.greatest(scale, F.lit(least))), lambda s: F.struct(s.alias("scale"), nearest(s).alias("codes"))), 1)
+
+    def step(old: Column, _: Column) -> Column:
+        level = F.transform(old["codes"], lambda i: F.get(book, i))
+        total = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+        return state(total(values, level) / F.greatest(total(level, level), F.lit(least)))
+
+    top = F.aggregate(values, F.lit(0.0), lambda t, x: F.greatest(t, F.abs(x)))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state(top), step)

@@ -14,6 +14,7 @@ from ..operators import intervals as iv
 from ..operators import lexicon as lx
 from ..operators import speakers as sp
 from ..sources import ingest, transcripts
+from ..sources.staging import staged
 from .fixtures import CLIPS, EMBEDDINGS, FRAMES, RESULTS, ROUNDS, clip_embeddings, clips, frames, results, rounds, table
 
 
@@ -100,7 +101,7 @@ def outlier_rejection(spark, d):
 
 
 def _prints(spark, d) -> DataFrame:
-    return sp.voiceprints(clip_embeddings(spark, d), 0.05)[0].where("seconds > 0")
+    return staged(sp.voiceprints(clip_embeddings(spark, d), 0.05)[0].where("seconds > 0"), "prints")
 
 
 def voiceprint_clusters(spark, d):
@@ -288,8 +289,8 @@ def lexicon_counts(spark, d):
 
 def bigram_pmi(spark, d):
     docs = table(spark, d, "documents")
-    pairs = lx.bigrams(docs).where("n >= 3")
-    out = lx.context_scores(pairs, lx.counts(lx.words(docs), 5), pairs)
+    pairs = staged(lx.bigrams(docs).where("n >= 3"), "pairs")
+    out = lx.context_scores(pairs, staged(lx.counts(lx.words(docs), 5), "lexicon"), pairs)
     return out.select("first", "second", "n", F.round("score", 6).alias("score"))
 
 

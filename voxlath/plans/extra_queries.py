@@ -15,6 +15,7 @@ from ..operators import intervals as iv
 from ..operators import lexicon as lx
 from ..operators import segments as sg
 from ..sources import ingest, manifests, transcripts
+from ..sources.staging import staged
 from .corpus_queries import key_sql
 from .fixtures import FRAMES, frames, table
 
@@ -45,13 +46,13 @@ def others_of_window(spark, d):
 
 
 def spelling_candidates(spark, d):
-    words = lx.counts(lx.words(table(spark, d, "documents"))).where(F.col("word").rlike("^[a-z]+$"))
+    words = staged(lx.counts(lx.words(table(spark, d, "documents"))).where(F.col("word").rlike("^[a-z]+$")), "words")
     out = lx.candidates(words.select(F.col("word").alias("typed")), words)
     return out.groupBy("typed").agg(F.count("*").alias("n"), F.sum("n").alias("total"))
 
 
 def ranked_candidates(spark, d):
-    words = lx.counts(lx.words(table(spark, d, "documents"))).where(F.col("word").rlike("^[a-z]+$"))
+    words = staged(lx.counts(lx.words(table(spark, d, "documents"))).where(F.col("word").rlike("^[a-z]+$")), "words")
     out = lx.ranked(lx.candidates(words.select(F.col("word").alias("typed")), words), 1e5)
     return out.select("typed", "word", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 

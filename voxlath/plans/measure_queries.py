@@ -9,6 +9,7 @@ from ..functions import audio as au
 from ..functions import scripts as sc
 from ..functions import text as tx
 from ..functions import vectors as vx
+from ..operators import codebooks as cb
 from ..operators import dataset as ds
 from ..operators import evaluation as ev
 from ..operators import frames as fr
@@ -16,6 +17,7 @@ from ..operators import lexicon as lx
 from ..operators import ranking as rk
 from ..operators import speakers as sp
 from ..sources import ingest, manifests, transcripts
+from ..sources.staging import staged
 from .corpus_queries import DRAW, WEIGHED, key_sql, poisson
 from .fixtures import CLIPS, FRAMES, RESULTS, ROUNDS, clips, frames, results, rounds, table
 
@@ -86,6 +88,12 @@ def restored_rows(spark, d):
     return e.select("vec_id", F.round(vx.relative_error(back, F.transform("embedding", lambda x: x.cast("double"))), 9).alias("error"))
 
 
+def fitted_scales(spark, d):
+    book = F.array(*[F.lit(float(i * abs(i)) / 64) for i in range(-8, 8)])
+    e = table(spark, d, "embeddings").select("vec_id", cb.fitted_scale(F.transform(F.slice("embedding", 1, 16), lambda x: x.cast("double")), book).alias("f"))
+    return e.select("vec_id", F.round("f.scale", 6).alias("scale"), F.array_join(F.transform("f.codes", lambda i: i.cast("string")), " ").alias("codes"))
+
+
 def standard_features(spark, d):
     e = table(spark, d, "embeddings").select("label", F.posexplode("embedding").alias("m", "x")).withColumn("x", F.col("x").cast("double"))
     out = fr.standardise(e, ["label", "m"], "x")
@@ -195,8 +203,8 @@ def chunk_plans(spark, d):
 def bigram_context(spark, d):
     """Pairs the other way round, many of which never occur."""
     docs = table(spark, d, "documents")
-    pairs = lx.bigrams(docs).where("n >= 3")
-    out = lx.context_scores(pairs.select(F.col("second").alias("first"), F.col("first").alias("second")), lx.counts(lx.words(docs), 5), pairs)
+    pairs = staged(lx.bigrams(docs).where("n >= 3"), "pairs")
+    out = lx.context_scores(pairs.select(F.col("second").alias("first"), F.col("first").alias("second")), staged(lx.counts(lx.words(docs), 5), "lexicon"), pairs)
     return out.select("first", "second", "n", F.round("score", 6).alias("score"))
 
 
@@ -206,14 +214,14 @@ def romanised_words(spark, d):
 
 
 def typed_keys(spark, d):
-    n = table(spark, d, "nation").select("n_nationkey", sc.typed_latin(F.concat("n_name", F.lit("~_\\"))).alias("latin"))
+    n = table(spark, d, "nation").select("n_nationkey", sc.typed_latin(F.concat(F.translate("n_name", "0123456789", "abcdefghij"), F.lit("~_\\"))).alias("latin"))
     return n.select("n_nationkey", "latin", tx.phonetic_key(F.col("latin")).alias("key"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        silence_ranges, silence_removal, cross_faded, peak_normalised, clip_plans, mono_means, frame_energies, byte_curves, unpacked_weights, restored_rows, standard_features, powerset_groups, dense_pool, gender_means,
+        silence_ranges, silence_removal, cross_faded, peak_normalised, clip_plans, mono_means, frame_energies, byte_curves, unpacked_weights, restored_rows, fitted_scales, standard_features, powerset_groups, dense_pool, gender_means,
         length_batches, clip_similarities, repeated_rows, listed_files, paired_intervals, whole_tally, both_ways, chosen_checkpoints, best_takes, config_entries, hub_names, row_documents, sidecar_objects, plain_texts,
         chunk_plans, bigram_context, romanised_words, typed_keys,
     )
@@ -255,6 +263,11 @@ ORACLES = {
       SELECT vec_id, count(*) AS n, round(sum(greatest(-127, least(127, round_even((c - 7.5::DOUBLE) * 8 * CASE WHEN i < 16 THEN 1.3::DOUBLE ELSE 2.7::DOUBLE END, 0))) * 0.01::DOUBLE), 6) AS total FROM c GROUP BY 1""",
     "restored_rows": """WITH f AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v FROM embeddings), s AS (SELECT vec_id, greatest(max(abs(v)) / 127, 1e-30) AS scale FROM f GROUP BY 1), q AS (SELECT vec_id, v, greatest(-127, least(127, round_even(v / scale, 0)))::INT * scale AS w FROM f JOIN s USING (vec_id))
       SELECT vec_id, round(sqrt(sum((w - v) * (w - v)) / sum(v * v)), 9) AS error FROM q GROUP BY 1""",
+    "fitted_scales": """WITH b AS (SELECT list_transform(range(-8, 8), lambda i: (i * abs(i))::DOUBLE / 64) AS book), e AS (SELECT vec_id, list_transform(embedding[1:16], lambda x: x::DOUBLE) AS v, book FROM embeddings, b),
+      s0 AS (SELECT *, greatest(list_max(list_transform(v, lambda x: abs(x))), 1e-8::DOUBLE) AS s FROM e), c0 AS (SELECT *, list_transform(v, lambda x: list_min(list_transform(range(1, 17), lambda i: {'d': abs(book[i] - x / s), 'i': i})).i) AS c FROM s0),
+      s1 AS (SELECT vec_id, v, book, greatest(list_sum(list_transform(range(1, 17), lambda i: v[i] * book[c[i]])) / greatest(list_sum(list_transform(c, lambda i: book[i] * book[i])), 1e-8::DOUBLE), 1e-8::DOUBLE) AS s FROM c0), c1 AS (SELECT *, list_transform(v, lambda x: list_min(list_transform(range(1, 17), lambda i: {'d': abs(book[i] - x / s), 'i': i})).i) AS c FROM s1),
+      s2 AS (SELECT vec_id, v, book, greatest(list_sum(list_transform(range(1, 17), lambda i: v[i] * book[c[i]])) / greatest(list_sum(list_transform(c, lambda i: book[i] * book[i])), 1e-8::DOUBLE), 1e-8::DOUBLE) AS s FROM c1), c2 AS (SELECT *, list_transform(v, lambda x: list_min(list_transform(range(1, 17), lambda i: {'d': abs(book[i] - x / s), 'i': i})).i) AS c FROM s2)
+      SELECT vec_id, round(s, 6) AS scale, array_to_string(list_transform(c, lambda i: i - 1), ' ') AS codes FROM c2""",
     "standard_features": """WITH f AS (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(0, len(embedding))) AS m FROM embeddings), s AS (SELECT label, m, avg(v) AS a, sqrt(greatest(coalesce(var_samp(v), 0), pow(2.0, -24))) + 1e-5 AS d FROM f GROUP BY 1, 2)
       SELECT label, m, round(min((v - a) / d), 5) AS low, round(max((v - a) / d), 5) AS high FROM f JOIN s USING (label, m) GROUP BY 1, 2""",
     "powerset_groups": f"WITH {FRAMES} SELECT rec, t, round(sum(p) FILTER (k = 0), 6) AS none, round(sum(p) FILTER (k IN (1, 2)), 6) AS one, round(sum(p) FILTER (k > 2), 6) AS more FROM frames GROUP BY 1, 2",
@@ -280,7 +293,7 @@ ORACLES = {
     "row_documents": """SELECT n_nationkey, '{"n_name":"' || n_name || '","region":' || CASE WHEN n_regionkey > 1 THEN n_regionkey::VARCHAR ELSE 'null' END || '}' AS document FROM nation""",
     "sidecar_objects": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE len(json_keys(props::JSON)) END::BIGINT AS n FROM events",
     "chunk_plans": WEIGHED + " SELECT doc_id, CASE WHEN frames > 750 THEN floor(375.0::DOUBLE / (frames / n))::BIGINT END AS length FROM est",
-    "typed_keys": f"""WITH n AS (SELECT n_nationkey, replace(replace(replace(replace(n_name, 'R', 'ri'), 'M', 'n'), 'H', 'h'), '_', '') AS latin FROM nation), k AS (SELECT *, {key_sql('latin')} AS k FROM n)
+    "typed_keys": f"""WITH n AS (SELECT n_nationkey, replace(replace(replace(replace(translate(n_name, '0123456789', 'abcdefghij'), 'R', 'ri'), 'M', 'n'), 'H', 'h'), '_', '') AS latin FROM nation), k AS (SELECT *, {key_sql('latin')} AS k FROM n)
       SELECT n_nationkey, latin, CASE WHEN length(k) > 1 AND k LIKE '%a' THEN substr(k, 1, length(k) - 1) ELSE k END AS key FROM k""",
     "plain_texts": r"SELECT conv_id || '-' || turn AS rec, md5(array_to_string(list_filter(string_split_regex(text, '\s+'), lambda w: w <> ''), ' ')) AS digest FROM conversations",
 
