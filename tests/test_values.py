@@ -64,3 +64,56 @@ def test_stable_ids_take_turns(spark):
     previous = spark.createDataFrame([("a", "S0001"), ("b", "S0002"), ("c", "S0001"), ("d", "S0001")], "local_speaker string, speaker string")
     got = {r["cluster"]: r["speaker"] for r in speakers.stable_ids(members, previous).collect()}
     assert got == {0: "S0001", 1: "S0003", 2: "S0004", 3: "S0005"}
+
+
+def test_words_are_chosen_after_the_word_before(spark):
+    import math
+
+    from voxlath.functions import text as tx
+    from voxlath.operators import typing
+
+    freq = {"पानी": 3, "पनि": 40, "नेपाल": 20, "राम्रो": 9, "रमरो": 8, "छ": 50, "चा": 5, "पनी": 2, "घर": 12, "घरे": 4}
+    pairs = {("घर", "पानी"): 30, ("नेपाल", "राम्रो"): 4, ("पनि", "छ"): 20, ("राम्रो", "छ"): 6}
+    texts = ["pani", "ghar pani cha.", "Nepal ramro cha, ghar pani", "gh_ar {pani} pani", "ghar, pani 12", "", "ramro ramro  cha"]
+    light = lambda w: spark.createDataFrame([(w,)], "w string").select(tx.light_spelling(F.col("w"))).first()[0]
+    keys = {w: spark.createDataFrame([(scripts.latin_of(w),)], "w string").select(tx.phonetic_key(F.col("w"))).first()[0] for w in freq}
+    total = sum(freq.values()) + len(freq) + 1
+
+    def logp(w, prev):
+        p = (freq.get(w, 0) + 1) / total
+        return math.log(p) + (0 if prev is None else math.log((pairs.get((prev, w), 0) + 1) / (freq.get(prev, 0) * p + 1)))
+
+    def plain(text):
+        import re
+
+        out, prev = "", None
+        for t in re.findall(typing.TOKEN, text):
+            if t.startswith("{") and len(t) > 1:
+                out, prev = out + t[1:-1], None
+            elif re.match(typing.WORD, t):
+                w = t.lower() if re.match(typing.CAPITALISED, t) else t
+                strict = scripts.devanagari_of(w, False, False)
+                if re.search(typing.EXACT, w):
+                    best = strict
+                else:
+                    key = spark.createDataFrame([(w,)], "w string").select(tx.phonetic_key(F.col("w"))).first()[0]
+                    loose = lambda k: k[:1] + k[1:].replace("a", "")
+                    found = [x for x in freq if keys[x] == key]
+                    found += [x for x in freq if loose(keys[x]) == loose(key) and x not in found] if len(found) < 3 else []
+                    found = {*found, strict}
+                    cost = {x: float(tx.typing_costs([light(w)], [light(scripts.latin_of(x))])[0]) for x in found}
+                    top = sorted(found, key=lambda x: (-(logp(x, None) - cost[x]), x))[:8]
+                    best = min(top, key=lambda x: (-(logp(x, prev) - cost[x]), top.index(x)))
+                out, prev = out + best, best
+            else:
+                out += scripts.devanagari_of(t)
+                prev = prev if t.isspace() else None
+        return out
+
+    lex = spark.createDataFrame(list(freq.items()), "word string, n long")
+    two = spark.createDataFrame([(*k, v) for k, v in pairs.items()], "first string, second string, n long")
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r["id"]: r["text"] for r in typing.convert(rows, lex, two).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+    assert got[1].startswith("घर पानी") and got[0] == "पनि"
+    assert {r["id"]: r["text"] for r in typing.convert(rows.where("id = 0"), lex, two, {"pani": "X"}).collect()} == {0: "X"}

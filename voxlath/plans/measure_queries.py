@@ -16,6 +16,7 @@ from ..operators import frames as fr
 from ..operators import lexicon as lx
 from ..operators import ranking as rk
 from ..operators import speakers as sp
+from ..operators import typing as ty
 from ..sources import ingest, manifests, transcripts
 from ..sources.staging import staged
 from .corpus_queries import DRAW, WEIGHED, key_sql, poisson
@@ -213,6 +214,16 @@ def romanised_words(spark, d):
     return words.select("word", sc.devanagari(F.col("word")).alias("script"), sc.latin(sc.devanagari(F.col("word"))).alias("back"))
 
 
+def typed_texts(spark, d):
+    """Conversations in Devanagari, with the documents' words as lexicon."""
+    docs = table(spark, d, "documents").where("lang = 'en'")
+    script = lambda c: sc.devanagari(F.col(c))
+    lexicon = staged(lx.counts(lx.words(docs), 3).where(F.col("word").rlike("^[a-z]+$")).select(script("word").alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n")), "lexicon")
+    pairs = lx.bigrams(docs).where("n >= 3").select(script("first").alias("first"), script("second").alias("second"), "n").groupBy("first", "second").agg(F.sum("n").alias("n"))
+    texts = table(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text")
+    return ty.convert(texts, lexicon, staged(pairs, "pairs")).select("id", F.md5("text").alias("digest"), F.length("text").cast("long").alias("n"))
+
+
 def typed_keys(spark, d):
     n = table(spark, d, "nation").select("n_nationkey", sc.typed_latin(F.concat(F.translate("n_name", "0123456789", "abcdefghij"), F.lit("~_\\"))).alias("latin"))
     return n.select("n_nationkey", "latin", tx.phonetic_key(F.col("latin")).alias("key"))
@@ -223,7 +234,7 @@ QUERIES = {
     for f in (
         silence_ranges, silence_removal, cross_faded, peak_normalised, clip_plans, mono_means, frame_energies, byte_curves, unpacked_weights, restored_rows, fitted_scales, standard_features, powerset_groups, dense_pool, gender_means,
         length_batches, clip_similarities, repeated_rows, listed_files, paired_intervals, whole_tally, both_ways, chosen_checkpoints, best_takes, config_entries, hub_names, row_documents, sidecar_objects, plain_texts,
-        chunk_plans, bigram_context, romanised_words, typed_keys,
+        chunk_plans, bigram_context, romanised_words, typed_keys, typed_texts,
     )
 }
 
