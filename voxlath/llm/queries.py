@@ -63,8 +63,6 @@ ORACLES: dict[str, str] = {
     "op2_quality_rules": oracle_quality.SQL,
     "op4_line_dedup": oracle_text.LINES,
     "op5_jaccard_join": oracle_text.CLASSES,
-    "op6_token_counts": token_rollup.SQL,
     "op7_decontamination": oracle_text.WINDOWS,
     "op9_sharding": shard_store.SQL,
-    "op10_packing": sequence_packing.SQL,
 }

@@ -7,7 +7,8 @@ id, commits it; a batch whose id is there already changes nothing, whoever sends
 Totals are the sum of a base and of the deltas committed after it; `compact` makes a new base.
 
 Nulls in source, language or tokenizer are groups of their own; a null count is none, a null
-sign is 1.  Null and empty texts have no tokens but count as documents.  Repeated rows count
+sign is 1.  Null and empty texts have no tokens but count as documents.  A batch id is used once
+for ever: of two drivers that send one id at once, the first to commit counts.  Repeated rows count
 as often as they occur.  Groups without documents and tokens are left out.
 """
 
@@ -15,16 +16,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize
+from . import chunked_bpe
+from .common import fresh_path, materialize, short_batches, tidy
 from .manifest import Conflict, Folder
 
 GROUP = ["source", "lang", "tokenizer"]
 _SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-#: Tokenizer versions as patterns of a token.  Fixed values.
-TOKENIZERS = {"words-1": r"[^\x20\x09-\x0D]+", "words-2": r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]"}
+#: Tokenizer versions by their public vocabulary files.
+TOKENIZERS = {"byte-bpe-50k": "byte_bpe_50k.tiktoken", "byte-bpe-multi-50k": "byte_bpe_multi_50k.tiktoken"}
+
 
 
 class TokenRollup:
@@ -78,13 +82,28 @@ class TokenRollup:
         return self._base()[0]
 
 
-def count(text: Column, tokenizer: str) -> Column:
-    return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(TOKENIZERS[tokenizer])).cast("long")
+def counted(docs: DataFrame, keep: list[str], text_col: str = "text", tokenizers: dict[str, str] | None = None) -> DataFrame:
+    """keep's columns of every row with n_tokens: a map from tokenizer version to the number of tokens of the whole text; null texts have none."""
+    import public_tokenizers
+
+    files = {name: public_tokenizers.path(file) for name, file in (tokenizers or TOKENIZERS).items()}
+    held = docs.select(F.col(text_col).cast("string").alias("__text"), *keep)
+    kind = pa.map_(pa.string(), pa.int64())
+
+    def run(batches):
+        own = {name: chunked_bpe.codec(path, None) for name, path in files.items()}
+        for batch in batches:
+            counts = [[(name, len(c.encode(t.as_py()))) for name, c in own.items()] for t in batch.column(0)]
+            yield pa.record_batch([*(batch.column(c) for c in range(1, batch.num_columns)), pa.array(counts, kind)], names=[*batch.schema.names[1:], "n_tokens"])
+
+    short_batches(docs.sparkSession)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema.fields[1:]), "n_tokens map<string,bigint>"])
+    return held.mapInArrow(tidy(run), schema)
 
 
-def _rows(docs: DataFrame, counts: str, sign: int) -> DataFrame:
-    """A row for each document and tokenizer version of the map column `counts`."""
-    return docs.select("source", "lang", F.explode(counts).alias("tokenizer", "n_tokens"), F.lit(sign).alias("sign"))
+def _rows(docs: DataFrame, sign: int) -> DataFrame:
+    """A row for each document and tokenizer version of the map column n_tokens."""
+    return docs.select("source", "lang", F.explode("n_tokens").alias("tokenizer", "n_tokens"), F.lit(sign).alias("sign"))
 
 
 def replay(docs: DataFrame) -> DataFrame:
@@ -95,21 +114,18 @@ def replay(docs: DataFrame) -> DataFrame:
     last batch arrive again, and a base is made in between.
     """
     spark = docs.sparkSession
-    as_map = lambda text: F.map_from_arrays(F.array(*[F.lit(t) for t in TOKENIZERS]), F.array(*[count(text, t) for t in TOKENIZERS]))
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n")
     distinct = F.array_distinct(lines)
-    counted = docs.select(
-        "source", "lang", as_map(text).alias("counts"),
-        F.when(F.size(distinct) < F.size(lines), as_map(F.array_join(distinct, "\n"))).alias("revised"),
-        (~text.rlike(r"\p{L}{4}")).alias("deleted"),
-    )
-    counted = materialize(counted, "token-counts")
+    named = docs.select("source", "lang", text.alias("whole"), F.when(F.size(distinct) < F.size(lines), F.array_join(distinct, "\n")).alias("fewer"), (~text.rlike(r"\p{L}{4}")).alias("deleted"))
+    # What a document counted before its lines were revised, and what it counts now.
+    states = F.array(F.struct(F.col("whole").alias("text"), F.lit(False).alias("revised")), F.struct(F.col("fewer").alias("text"), F.lit(True).alias("revised")))
+    rows = named.select("source", "lang", "deleted", F.col("fewer").isNotNull().alias("changed"), F.explode(F.filter(states, lambda s: s["text"].isNotNull())).alias("s"))
+    counts = materialize(counted(rows.select("source", "lang", "deleted", "changed", "s.revised", "s.text"), ["source", "lang", "deleted", "changed", "revised"]), "token-counts")
     rollup = TokenRollup(spark, fresh_path(spark, "token-rollup"))
-    load = _rows(counted, "counts", 1)
-    changed = counted.where("revised is not null")
-    revise = _rows(changed, "counts", -1).unionByName(_rows(changed, "revised", 1))
-    delete = _rows(counted.withColumn("now", F.coalesce("revised", "counts")).where("deleted"), "now", -1)
+    load = _rows(counts.where("not revised"), 1)
+    revise = _rows(counts.where("changed and not revised"), -1).unionByName(_rows(counts.where("revised"), 1))
+    delete = _rows(counts.where("deleted and changed = revised"), -1)
     rollup.apply("0001-load", load)
     rollup.apply("0002-revise", revise)
     rollup.compact()
@@ -117,18 +133,3 @@ def replay(docs: DataFrame) -> DataFrame:
     rollup.apply("0001-load", load)
     rollup.apply("0003-delete", delete)
     return rollup.totals()
-
-
-SQL = r"""
-WITH d AS (
-  SELECT source, lang, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
-), now AS (
-  SELECT source, lang, t, CASE WHEN len(list_distinct(l)) < len(l)
-    THEN array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), chr(10)) ELSE t END AS u FROM d
-), c AS (
-  SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(u, '[^\x20\x09-\x0D]+')) AS n FROM now WHERE regexp_matches(t, '\p{L}{4}')
-  UNION ALL
-  SELECT source, lang, 'words-2', len(regexp_extract_all(u, '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]')) FROM now WHERE regexp_matches(t, '\p{L}{4}')
-)
-SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens FROM c GROUP BY source, lang, tokenizer
-"""
