@@ -7,12 +7,12 @@ best fit decreasing: a segment tree over remaining capacities finds the fullest
 still fits into.  A group is what a task has read up to a bounded number of ids, so packing needs
 no shuffle and its memory doesn't grow with the input.
 
-Each packed row holds the ids as little-endian unsigned integers padded with 0, the cumulative
-lengths of its segments, the place where position numbering starts again for each, and whose
-pieces they are.
+Each packed row holds the ids as little-endian unsigned integers of `id_bytes` bytes padded with 0,
+the cumulative lengths of its segments, the place where position numbering starts again for each,
+and whose pieces they are.  An id that doesn't fit into id_bytes fails the job.
 
-Null and empty texts have the end mark alone; null ids none at all, and then no piece.  Repeated
-rows are packed each.  An empty table makes no rows.
+Null and empty texts have the end mark alone; null ids none at all, and then no piece; a null in
+an array of ids is left out.  Repeated rows are packed each.  An empty table makes no rows.
 """
 
 from __future__ import annotations
@@ -84,8 +84,7 @@ def best_fit(lengths: list[int], length: int) -> list[list[int]]:
     return rows
 
 
-def _pack(ids: list[np.ndarray], names: list[tuple], length: int, kind: pa.DataType) -> pa.RecordBatch:
-    dtype = np.dtype("<u2") if not len(ids) or max(int(x.max(initial=0)) for x in ids) < 1 << 16 else np.dtype("<u4")
+def _pack(ids: list[np.ndarray], names: list[tuple], length: int, kind: pa.DataType, dtype: np.dtype) -> pa.RecordBatch:
     pieces = [(d, k, x[at : at + length]) for d, x in enumerate(ids) for k, at in enumerate(range(0, len(x), length))]
     out, seqlens, resets, segments = [], [], [], []
     for row in best_fit([len(p[2]) for p in pieces], length):
@@ -109,39 +108,56 @@ def byte_ids(column: pa.Array) -> list[np.ndarray]:
     return [np.append(shifted[a:b], np.uint16(END)) for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-def _packer(length: int, group_ids: int, texts: bool):
+def array_ids(column: pa.Array, dtype: np.dtype) -> list[np.ndarray]:
+    """The arrays' ids without nulls; ValueError for one that the type can't hold."""
+    out = []
+    for x in column:
+        own = x.values.drop_null().to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, dtype=np.int64)
+        if len(own) and not 0 <= own.min() <= own.max() <= np.iinfo(dtype).max:
+            raise ValueError(f"ids from {own.min()} to {own.max()} don't fit into {dtype.itemsize} bytes")
+        out.append(own.astype(dtype))
+    return out
+
+
+def _type(id_bytes: int) -> np.dtype:
+    if id_bytes not in (2, 4):
+        raise ValueError("id_bytes must be 2 or 4")
+    return np.dtype(f"<u{id_bytes}")
+
+
+def _packer(length: int, group_ids: int, texts: bool, dtype: np.dtype):
     def run(batches):
         held, names, n = [], [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                ids = byte_ids(part.column(0)) if texts else [x.values.to_numpy(zero_copy_only=False).astype(np.uint32) if x.is_valid else np.zeros(0, dtype=np.uint32) for x in part.column(0)]
+                ids = byte_ids(part.column(0)) if texts else array_ids(part.column(0), dtype)
                 kind = part.column(2).type
                 for own, name in zip(ids, zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
                     held.append(own), names.append(name)
                     n += len(own)
                     if n >= group_ids:
-                        yield _pack(held, names, length, kind)
+                        yield _pack(held, names, length, kind, dtype)
                         held, names, n = [], [], 0
         if held:
-            yield _pack(held, names, length, kind)
+            yield _pack(held, names, length, kind, dtype)
 
     return run
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids_col: str | None = None, length: int = LENGTH, group_ids: int = GROUP_IDS) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids_col: str | None = None, length: int = LENGTH, group_ids: int = GROUP_IDS, id_bytes: int = 2) -> DataFrame:
     """Packed rows: ids, cu_seqlens, position_resets and segments, from texts or from an array of ids.
 
     A segment names its document by id and by row_id, which tells repeated ids apart within one
     run of the plan; so write the rows before reading them more than once.
     """
-    source = F.col(text_col).cast("string") if ids_col is None else F.col(ids_col).cast("array<int>")
+    source = F.col(text_col).cast("string") if ids_col is None else F.col(ids_col).cast("array<bigint>")
     own = docs.select(source.alias("__ids"), F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"))
     short_batches(docs.sparkSession)
-    return own.mapInArrow(tidy(_packer(length, group_ids, ids_col is None)), _SCHEMA.format(own.schema["__id"].dataType.simpleString()))
+    return own.mapInArrow(tidy(_packer(length, group_ids, ids_col is None, _type(id_bytes))), _SCHEMA.format(own.schema["__id"].dataType.simpleString()))
 
 
-def _pieces(length: int):
+def _pieces(dtype: np.dtype):
     """Every segment's ids back from the packed rows, as 32-bit integers."""
 
     def run(batches):
@@ -150,8 +166,7 @@ def _pieces(length: int):
             flat = segments.flatten()
             n, sha = [], []
             for ids, edges in zip(batch.column(0), batch.column(1).to_pylist()):
-                buffer = ids.as_buffer()
-                data = np.frombuffer(buffer, dtype="<u2" if buffer.size == 2 * length else "<u4")
+                data = np.frombuffer(ids.as_buffer(), dtype=dtype)
                 for a, b in zip(edges, edges[1:]):
                     n.append(b - a)
                     sha.append(hashlib.sha256(data[a:b].astype("<u4").tobytes()).hexdigest())
@@ -163,26 +178,17 @@ def _pieces(length: int):
 def written(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """op10: every document as it stands in the packed rows: token ids, pieces, and the hash of its pieces' hashes.
 
-    Ids are those of the tokenizer that op8 encodes with, with its end-of-text token after each document.  The rows are written to the shared folder as compressed Parquet and read again.
+    Ids are those of the tokenizer that op8 encodes with, which fit into two bytes, with its
+    end-of-text token after each document.  The rows are written to the shared folder as compressed
+    Parquet and read again.
     """
     spark = docs.sparkSession
     path = fresh_path(spark, "packed")
-    tokens = chunked_bpe.encode(docs, ["doc_id"]).select("doc_id", F.concat("ids", F.array(F.lit(chunked_bpe.SPECIAL_ID))).alias("ids"))
-    pack(tokens, ids_col="ids", length=length).write.option("compression", "zstd").parquet(path)
+    tokens = chunked_bpe.encode(docs, ["doc_id"], share=False).select("doc_id", F.concat("ids", F.array(F.lit(chunked_bpe.SPECIAL_ID))).alias("ids"))
+    pack(tokens, ids_col="ids", length=length, id_bytes=2).write.option("compression", "zstd").parquet(path)
     back = spark.read.parquet(path).select("ids", "cu_seqlens", "segments")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pieces = back.mapInArrow(tidy(_pieces(length)), f"row_id long, doc_id {kind}, piece int, n long, sha string")
+    pieces = back.mapInArrow(tidy(_pieces(_type(2))), f"row_id long, doc_id {kind}, piece int, n long, sha string")
     whole = pieces.groupBy("row_id", "doc_id").agg(F.sum("n").alias("n_ids"), F.count("*").alias("n_pieces"), F.array_sort(F.collect_list(F.struct("piece", "sha"))).alias("p"))  # the pieces of one document
     return whole.select("doc_id", "n_ids", "n_pieces", F.sha2(F.array_join(F.col("p.sha"), ","), 256).alias("pieces_sha256"))
 
-
-SQL = f"""
-WITH d AS (
-  SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
-), n AS (
-  SELECT doc_id, b, octet_length(b) + 1 AS n_ids, (octet_length(b) + {LENGTH})//{LENGTH} AS n_pieces FROM d
-)
-SELECT doc_id, n_ids::BIGINT AS n_ids, n_pieces::BIGINT AS n_pieces,
-       sha256(array_to_string(list_transform(range(n_pieces), lambda i: sha256(b[i * {LENGTH} + 1 : (i + 1) * {LENGTH}])), ',')) AS pieces_sha256
-FROM n
-"""
