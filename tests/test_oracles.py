@@ -19,7 +19,9 @@ def plain(v):
         v = v.tolist()
     if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v):
         return None
-    return float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    if isinstance(v, float):
+        return int(v) if v.is_integer() else v
+    return v if isinstance(v, int) and not isinstance(v, bool) else str(v)
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +42,7 @@ def test_same_rows(spark, con, smallest, name):
     rows = lambda df: sorted([tuple(map(plain, r)) for r in df[columns].itertuples(index=False)], key=coarse)
     got, want = rows(got), rows(want)
     assert len(got) == len(want)
-    close = lambda a, b: math.isclose(a, b, rel_tol=1e-6, abs_tol=2e-6) if isinstance(a, float) and isinstance(b, float) else a == b
+    close = lambda a, b: math.isclose(a, b, rel_tol=1e-6, abs_tol=2e-6) if isinstance(a, (int, float)) and isinstance(b, (int, float)) else a == b
     assert [x for x in zip(got, want) if not all(map(close, *x))] == []
 
 
