@@ -29,16 +29,13 @@ class Folder:
         path = self._at(folder)
         return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
 
-    def sizes(self, folder: str) -> dict[str, int]:
-        """Bytes by full name of the Parquet files below a folder."""
-        path, out = self._at(folder), {}
-        if self._fs.exists(path):
-            files = self._fs.listFiles(path, True)
-            while files.hasNext():
-                f = files.next()
-                if f.getPath().getName().endswith(".parquet"):
-                    out[f.getPath().toString()] = f.getLen()
-        return out
+    def size(self, folder: str) -> tuple[int, int]:
+        """Number and bytes of the files with any content below a folder; one call, however many there are."""
+        path = self._at(folder)
+        if not self._fs.exists(path):
+            return 0, 0
+        found = self._fs.getContentSummary(path)
+        return found.getFileCount() - int(self._fs.exists(self._at(f"{folder}/_SUCCESS"))), found.getLength()
 
     def read(self, name: str) -> dict:
         stream = self._fs.open(self._at(name))
