@@ -3,6 +3,8 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from voxlath.llm import toxic_crf
 
@@ -78,3 +80,58 @@ def test_nasty_and_empty(spark, nasty, empty, labels):
     assert len(out) == nasty.count() and all(0 <= r["score"] <= 1 for r in out)
     assert toxic_crf.score_held_out(empty, labels).count() == 0
     assert {r["score"] for r in toxic_crf.score_held_out(nasty, labels.limit(0)).collect()} == {0.0}
+
+
+def planted(n):
+    rng = np.random.default_rng(7)
+    plain = [f"wo{i}rd" for i in range(300)]
+    texts, toxic = [], []
+    for i in range(n):
+        words = [str(w) for w in rng.choice(plain, 60)]
+        if i % 4 == 0:
+            words[int(rng.integers(0, 60))] = ("vexling", "vexlard")[i // 4 % 2]
+        texts.append(" ".join(words))
+        toxic.append(i % 4 == 0)
+    return texts, np.array(toxic)
+
+
+def test_cover_explains_toxic_documents_and_no_others():
+    texts, toxic = planted(200)
+    column = pa.array(texts, pa.large_string())
+    seeds = toxic_crf._cover(column, toxic)
+    found = np.zeros(len(texts), dtype=bool)
+    for i, _, data, starts, ends, counts, _ in toxic_crf._slices(column):
+        doc = i + np.repeat(np.arange(len(counts)), counts)
+        for kind in range(toxic_crf._KINDS):
+            found[doc[np.isin(toxic_crf.feature(data, starts, ends, kind), seeds)]] = True
+    assert len(seeds) and (found == toxic).all()
+
+
+def test_windows_hold_all_words_near_labelled_ones():
+    texts, toxic = planted(200)
+    column = pa.array(texts, pa.large_string())
+    seeds = toxic_crf._cover(column, toxic)
+    cells, y, first = toxic_crf._windows(column, toxic, seeds, reach=5, words=10**9)
+    assert len(y) == 200 * 60 and y.sum() == toxic.sum() and first.sum() == 200  # all words, a text each
+    cells, y, first = toxic_crf._windows(column, toxic, seeds, reach=5, words=100)
+    assert y.sum() == toxic.sum() and len(cells) == toxic_crf._KINDS and all(len(c) == len(y) for c in cells)
+    near = 0
+    for text, t in zip(texts, toxic):
+        at = [i for i, w in enumerate(text.split()) if t and w.startswith("vexl")]
+        near += len({j for i in at for j in range(max(0, i - 5), min(60, i + 6))})
+    assert near <= len(y) < 200 * 60
+
+
+def test_training_takes_rows_up_to_its_bounds(spark):
+    texts, toxic = planted(80)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    whole = toxic_crf.train(docs, labels)
+    order = [r["doc_id"] for r in docs.orderBy(F.xxhash64("doc_id")).collect()]
+    same = toxic_crf.fit([texts[i] for i in order], toxic[order])
+    assert np.array_equal(whole.emission, same.emission) and whole.calibration == same.calibration
+    assert toxic_crf.train(docs, labels, max_bytes=1).constant == 0.0  # no text fits
+    few = toxic_crf.train(docs, labels, max_toxic=5, max_clean=5)
+    picked = [i for y in (True, False) for i in [i for i in order if toxic[i] == y][:5]]
+    picked.sort(key=order.index)
+    assert np.array_equal(few.emission, toxic_crf.fit([texts[i] for i in picked], toxic[picked]).emission)

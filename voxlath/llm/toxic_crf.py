@@ -7,8 +7,10 @@ documents are the labelled tokens from which the field learns emissions of hashe
 and transitions.  Forward-backward marginals of all words of a text give its score, and spans of
 likely words the offending offsets.
 
-Learning uses a bounded sample of labelled rows, by parameters of `train`: the rows of each
-label with the least hash of their id.  Scoring covers every row and whole texts.
+Learning uses a bounded sample, by parameters of `train`: of the labelled rows those of each label
+with the least hash of their id, up to a number of rows and of bytes; of their words those near
+labelled ones, and windows of 50 words all over the texts, `words` of them about or 25 for each
+labelled word.  Scoring covers every row and whole texts.
 
 Null and empty texts have no words and get the score that the calibration gives to none.  Rows
 without a label, or with a null one, teach nothing; where a document has several labels, it is
@@ -18,14 +20,14 @@ ones, 0 for no rows at all.  Only the columns named are kept.
 
 from __future__ import annotations
 
+import io
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back
 from . import common
 from .hashing import LOWER, part_hashes, string_buffers, text_slices, word_spans
 
@@ -36,6 +38,8 @@ BITS = 18
 _KINDS = len(BEGINNINGS) + 2
 #: Marginal from which on a word belongs to an offending span.
 SPAN_AT = 0.5
+#: Words away from labelled ones that the field learns from, about.
+WORDS = 100_000
 _BLOCK = 64
 _TINY = 1e-30
 
@@ -232,7 +236,7 @@ def _windows(column: pa.Array, toxic: np.ndarray, seeds: np.ndarray, reach: int,
     return [np.concatenate(c) for c in cells], np.concatenate(y).astype(float), np.concatenate(first)
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 80, reach: int = 12, words: int = 50_000) -> Tagger:
+def fit(texts: list[str], toxic: np.ndarray, rounds: int = 80, reach: int = 12, words: int = WORDS) -> Tagger:
     """Learn from whole labelled texts; the field from the words around labelled tokens and windows all over."""
     if not len(texts) or toxic.all() or not toxic.any():
         return Tagger(np.zeros(1), np.zeros((2, 2)), np.zeros(2), (0.0, 0.0, 0.0), float(toxic.mean()) if len(texts) else 0.0)
@@ -279,24 +283,57 @@ def _calibrate(a: np.ndarray, b: np.ndarray, toxic: np.ndarray) -> tuple[float,
     return tuple(float(v) for v in w)
 
 
-def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic", max_toxic: int = 1000, max_clean: int = 2500) -> Tagger:
-    """Learn from at most max_toxic and max_clean labelled rows, whole texts."""
+def train(
+    docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
+    max_toxic: int = 1000, max_clean: int = 2500, max_bytes: int = 32 << 20, words: int = WORDS,
+) -> Tagger:
+    """Learn from at most max_toxic and max_clean labelled rows and max_bytes of either kind, whole texts.
+
+    The rows go to one task, which learns; the driver gets ids and weights, both of a bounded
+    size, and never a text.
+    """
+    spark = docs.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
     there = docs.select(F.col(id_col).alias("__id")).join(known, "__id")  # ids alone, so no text is shuffled
-    body = docs.select(F.col(id_col).alias("__key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    texts: list[str] = []
-    toxic: list[bool] = []
-    for y, most in ((1, max_toxic), (0, max_clean)):
-        part = there.where((F.col("__y") > 0) == F.lit(y == 1)).select("__id", F.xxhash64("__id").alias("__h")).distinct().orderBy("__h", "__id").limit(most)
-        chosen = [r["__id"] for r in part.collect()]  # at most `most` ids
-        rows = body.join(F.broadcast(docs.sparkSession.createDataFrame([(c,) for c in chosen], docs.select(F.col(id_col).alias("__id")).schema)), F.col("__key") == F.col("__id"), "left_semi")
-        own = [r["__text"] for r in rows.orderBy(F.xxhash64("__key"), "__key", "__text").limit(most).toLocalIterator()]
-        texts += own
-        toxic += [y == 1] * len(own)
-    tagger = fit(texts, np.array(toxic, dtype=bool))
-    del texts
-    give_back()
-    return tagger
+    chosen: list[tuple] = []
+    for y, most in ((True, max_toxic), (False, max_clean)):
+        part = there.where((F.col("__y") > 0) == F.lit(y)).select("__id", F.xxhash64("__id").alias("__h")).distinct().orderBy("__h", "__id").limit(most)
+        chosen += [(r["__id"], y) for r in part.collect()]  # at most `most` ids
+    kind = docs.schema[id_col].dataType.simpleString()
+    picked = spark.createDataFrame(chosen, f"__id {kind}, toxic boolean")
+    body = docs.select(F.col(id_col).alias("__key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = body.join(F.broadcast(picked), F.col("__key") == F.col("__id")).select(F.xxhash64("__key").alias("h"), "toxic", "text")
+    place = Window.partitionBy("toxic").orderBy("h", "text")
+    upto = F.sum(F.octet_length("text")).over(place.rowsBetween(Window.unboundedPreceding, 0))
+    most = F.when(F.col("toxic"), max_toxic).otherwise(max_clean)
+    rows = rows.withColumn("upto", upto).withColumn("place", F.row_number().over(place)).where((F.col("place") <= most) & (F.col("upto") <= max_bytes))
+    common.short_batches(spark)
+    made = rows.select("text", "toxic", "h").repartition(1).mapInArrow(common.tidy(_learner(words)), "tagger binary").collect()  # one row, the weights
+    return _unpacked(made[0]["tagger"]) if made else fit([], np.zeros(0, dtype=bool))
+
+
+def _learner(words: int):
+    def learn(batches):
+        held = [row for batch in batches for row in zip(batch.column(2).to_pylist(), batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        held.sort()
+        toxic = np.array([r[2] for r in held], dtype=bool)
+        texts = [r[1] for r in held]
+        del held
+        yield pa.record_batch([pa.array([_packed(fit(texts, toxic, words=words))], pa.binary())], names=["tagger"])
+
+    return learn
+
+
+def _packed(tagger: Tagger) -> bytes:
+    buffer = io.BytesIO()
+    constant = np.array([] if tagger.constant is None else [tagger.constant])
+    np.savez(buffer, emission=tagger.emission, transition=tagger.transition, start=tagger.start, calibration=np.array(tagger.calibration), constant=constant)
+    return buffer.getvalue()
+
+
+def _unpacked(data: bytes) -> Tagger:
+    own = np.load(io.BytesIO(data))
+    return Tagger(own["emission"], own["transition"], own["start"], tuple(own["calibration"].tolist()), float(own["constant"][0]) if len(own["constant"]) else None)
 
 
 def _tagged(tagger: Tagger, column: pa.Array, spans: bool):
