@@ -41,14 +41,15 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of word 5-gram sets with a Jaccard similarity of 0.8: the one with the least id.
+    """One row of each class of word 5-gram sets with a Jaccard similarity of 0.8: the one with the least id, null ids last, the first of equals.
 
-    Rows with the same id are one document: they stay or go together.
+    Rows are judged one by one, also those that share an id.  docs must give its rows in the same
+    partitions each time, as a written table does.
     """
-    classes = jaccard_join.classes(docs, width=5, percent=80)
-    stay = materialize(classes.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__stays")).distinct(), "stays")
-    own = _row(docs, F.col("doc_id").alias("__id"))
-    return own.join(stay, F.col("__id").eqNullSafe(F.col("__stays")), "left_semi").select(*_columns(docs))
+    row = _row(docs, "text", F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("at")).alias("__id"))
+    classes = jaccard_join.classes(row.select("text", "__id"), id_col="__id", width=5, percent=80)
+    stay = materialize(classes.where("id.at = component.at").select(F.col("id.at").alias("__stays")), "stays")
+    return row.join(stay, F.col("__id.at") == F.col("__stays"), "left_semi").select(*_columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
