@@ -167,8 +167,18 @@ def _slices(column: pa.Array):
         yield i, j, part, *word_spans(part, offsets[i : j + 1] - offsets[i], _SEPARATOR), offsets[i:j] - offsets[i]
 
 
-def _counted(column: pa.Array, toxic: np.ndarray, kind: int) -> tuple[np.ndarray, ...]:
-    """(feature, document) of one kind for features that mark toxic documents, with these features' counts in clean ones, and what counts as often."""
+def _families(column: pa.Array) -> np.ndarray:
+    """A hash for each text that copies of it share, mostly: the least of its words'."""
+    out = np.zeros(len(column), dtype=np.uint64)
+    for i, _, data, starts, ends, counts, _ in _slices(column):
+        if len(starts):
+            own = feature(data, starts, ends, 0)
+            out[i + np.flatnonzero(counts)] = np.minimum.reduceat(own, (np.cumsum(counts) - counts)[counts > 0])
+    return out
+
+
+def _counted(column: pa.Array, toxic: np.ndarray, kind: int, family: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(feature, document) of one kind for features that mark toxic documents, with these features' counts in clean ones, what counts as often, and the features that do so without copies."""
     found, docs = [], []
     for i, _, data, starts, ends, counts, _ in _slices(column):
         f, doc = feature(data, starts, ends, kind), i + np.repeat(np.arange(len(counts)), counts)
@@ -186,12 +196,19 @@ def _counted(column: pa.Array, toxic: np.ndarray, kind: int) -> tuple[np.ndarray
     needed = (np.log(_KINDS * len(dirty)) + 2) / -np.log(toxic.mean())  # hardly any feature is so often in toxic documents alone by chance
     good = (dirty >= needed) & (clean <= 0.02 * dirty)
     use = good[group] & toxic[doc]
-    return f[use], doc[use], clean[group[use]], needed
+    pairs = np.unique(np.stack([group[use].astype(np.uint64), family[doc[use]]], axis=1), axis=0)
+    apart = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(dirty))
+    return f[use], doc[use], clean[group[use]], needed, f[new][good & (apart >= needed)]
 
 
 def _cover(column: pa.Array, toxic: np.ndarray) -> np.ndarray:
-    """Features that explain toxic documents: each adds documents that no feature before explains."""
-    parts = [_counted(column, toxic, kind) for kind in range(_KINDS)]
+    """Features that explain toxic documents: each adds documents that no feature before explains.
+
+    Those that mark as many documents that are no copies of each other are there too, so that a word
+    isn't held to be harmless for always standing beside another one.
+    """
+    family = _families(column)
+    parts = [_counted(column, toxic, kind, family) for kind in range(_KINDS)]
     least = max(2.0, 0.5 * max(p[3] for p in parts))
     keys, key = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     where, clean = np.concatenate([p[1] for p in parts]), np.zeros(len(keys))
@@ -207,7 +224,7 @@ def _cover(column: pa.Array, toxic: np.ndarray) -> np.ndarray:
         open_[where[key == best]] = False
         rest = open_[where]
         key, where = key[rest], where[rest]
-    return np.array(picked, dtype=np.uint64)
+    return np.unique(np.concatenate([np.array(picked, dtype=np.uint64), *[p[4] for p in parts]]))
 
 
 def _windows(column: pa.Array, toxic: np.ndarray, seeds: np.ndarray, reach: int, words: int):
