@@ -226,6 +226,23 @@ def test_chunks_are_shared_and_joins_repaired():
     assert own._join(list(left), list(right)) == own._encode("hello world")
 
 
+def test_chunks_of_two_documents_are_encoded_once(spark):
+    passage = " ".join(f"piece{i}" for i in range(2000))
+    docs = spark.createDataFrame([(1, "first " + passage), (2, "quite another start " + passage), (3, " ".join(f"own{i}" for i in range(500))), (4, None)], "doc_id long, text string").repartition(3)
+    table = chunked_bpe.share_chunks(docs)
+    own = chunked_bpe.Codec(*chunked_bpe.vocabulary_files())
+    parts = [chunked_bpe.chunks(r["text"]) for r in docs.orderBy("doc_id").collect()]
+    both = set(parts[0]) & set(parts[1])
+    found = table.find([c for own_parts in parts for c in own_parts])
+    assert set(found) == both and len(both) > 10
+    assert all(ids.tolist() == own._encode(c.decode()) for c, ids in found.items())
+    asked = []
+    own._encode, direct = lambda t: asked.append(t.encode()) or direct(t), own._encode
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    assert own.encode_all(texts, table) == [direct(t or "") for t in texts]
+    assert not both & set(asked)
+
+
 def test_bpe_of_nasty_and_empty(spark, nasty, empty, whole):
     got = sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in chunked_bpe.digests(nasty).collect())
     want = []

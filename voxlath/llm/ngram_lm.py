@@ -13,12 +13,8 @@ whose only probability is the uniform one.  Other columns of the input are ignor
 from __future__ import annotations
 
 import functools
-import io
 import json
 import os
-import shutil
-import tempfile
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import arrays as arrays_
 from . import common
 from .hashing import chain, mix, string_buffers, text_slices, word_hashes, word_spans
 
@@ -134,29 +131,6 @@ def _counter(order: int, buckets: int):
     return count
 
 
-def _save(path: str, arrays: dict[str, np.ndarray]) -> None:
-    """All arrays appear at once or not at all; a repeated task writes the same again."""
-    if (local := common.local_path(path)) is not None:
-        made = f"{local}.{uuid.uuid4().hex}"
-        os.makedirs(made)
-        for name, a in arrays.items():
-            np.save(f"{made}/{name}.npy", a)
-        try:
-            os.rename(made, local)
-        except OSError:  # another attempt of this task was first
-            shutil.rmtree(made)
-        return
-    from pyarrow import fs
-
-    store, base = fs.FileSystem.from_uri(path)
-    store.create_dir(base)
-    for name, a in arrays.items():
-        buffer = io.BytesIO()
-        np.save(buffer, a)
-        with store.open_output_stream(f"{base}/{name}.npy") as out:
-            out.write(buffer.getvalue())
-
-
 def _small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a.astype(np.uint8)
 
@@ -187,7 +161,7 @@ def _merger(level: int, buckets: int, path: str, top: bool):
             arrays["context"] = context[order][first]
             for name, v in (("total", count), ("n1", count == 1), ("n2", count == 2), ("n3", count >= 3)):
                 arrays[name] = _small(np.add.reduceat(v[order].astype(np.int64), first))
-        _save(f"{path}/{level}-{bucket}", arrays)
+        arrays_.save(f"{path}/{level}-{bucket}", arrays)
         stats = {"n": [int((count == i).sum()) for i in range(1, 5)], "more": int((count >= 3).sum()), "total": int(count.sum()), "raw": int(raw.sum()), "distinct": len(count)}
         rows = [(-level, bucket, json.dumps(stats).encode())]
         if level > 1:
@@ -237,29 +211,12 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 3, buckets: int
     return LanguageModel(path, order, buckets, uni["raw"], uni["distinct"], tuple(_discounts(stats[k]["n"]) for k in range(1, order + 1)), (uni["total"], uni["n"][0], uni["n"][1], uni["more"]))
 
 
-@functools.lru_cache(maxsize=4096)
-def _mapped(path: str) -> dict[str, np.ndarray] | None:
-    """A bucket's arrays, mapped; None if it holds nothing."""
-    local = common.local_path(path)
-    if local is None:  # another store: keep a copy for this worker to map
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(path)
-        local = tempfile.mkdtemp()
-        for info in store.get_file_info(fs.FileSelector(base, allow_not_found=True)):
-            with store.open_input_stream(info.path) as src, open(f"{local}/{info.base_name}", "wb") as out:
-                shutil.copyfileobj(src, out)
-    if not os.path.isdir(local) or not os.listdir(local):
-        return None
-    return {f[:-4]: np.load(f"{local}/{f}", mmap_mode="r") for f in os.listdir(local)}
-
-
 def _lookup(model: LanguageModel, level: int, bucket: np.ndarray, key: np.ndarray, by: str, names: list[str]) -> list[np.ndarray]:
     """Values for sorted (bucket, key) pairs; 0 for what isn't there."""
     out = [np.zeros(len(key), dtype=np.int64) for _ in names]
     edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0, [True]])) if len(key) else []
     for i, j in zip(edges[:-1], edges[1:]):
-        if (arrays := _mapped(f"{model.path}/{level}-{bucket[i]}")) is None:
+        if (arrays := arrays_.mapped(f"{model.path}/{level}-{bucket[i]}")) is None:
             continue
         there = arrays[by]
         at = np.minimum(np.searchsorted(there, key[i:j]), len(there) - 1)

@@ -93,7 +93,7 @@ def counted(docs: DataFrame, keep: list[str], text_col: str = "text", tokenizers
     def run(batches):
         own = {name: chunked_bpe.codec(path, None) for name, path in files.items()}
         for batch in batches:
-            counts = [[(name, len(c.encode(t.as_py()))) for name, c in own.items()] for t in batch.column(0)]
+            counts = [[(name, len(c.whole(t.as_py()))) for name, c in own.items()] for t in batch.column(0)]
             yield pa.record_batch([*(batch.column(c) for c in range(1, batch.num_columns)), pa.array(counts, kind)], names=[*batch.schema.names[1:], "n_tokens"])
 
     short_batches(docs.sparkSession)
