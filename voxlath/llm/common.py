@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -20,10 +21,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     It is what the cluster names in spark.checkpoint.dir; a local folder is set only where
-    that is unset, as in tests on one machine.
+    that is unset and driver and executors are one process, as in tests.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="voxlath-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -52,13 +55,6 @@ def fold(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 if isinstance(doc_id, str) else F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path in the shared folder through the file system that it belongs to."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def local_path(uri: str) -> str | None:
     """The path in the mounted file system that a URI names, or None for another store."""
     if uri.startswith("file:"):

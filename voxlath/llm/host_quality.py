@@ -34,6 +34,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def host(url: Column) -> Column:
+    """Host of a URL in lower case, without www. and port; null where there is none."""
+    name = F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    return F.nullif(F.regexp_replace(name, r"^www\.", ""), F.lit(""))
+
+
 def _repeated(words: Column) -> Column:
     """Words in windows that a text holds twice or more, each word once."""
     n = F.size(words)
