@@ -5,7 +5,7 @@ A-Z count as a-z.  A window is `width` consecutive words of an item; an item wit
 but not none, is one window.  Windows of one length make one search: a shift table over blocks
 of two words skips positions where no window can end, windows are kept in buckets by their last
 block and first word, and comparing the words confirms an occurrence.  The tables are sorted hash
-arrays, some five times the size of the items; cursors walk over the texts of a batch side by side.
+arrays, some ten times the size of the items; cursors walk over the texts of a batch side by side.
 
 Items come to the tasks in blocks of a bounded size.  Each further block is another narrow pass
 over what the pass before has written, so that neither the tables that a task holds nor the
