@@ -24,7 +24,7 @@ def test_stages_take_nasty_and_empty_tables(spark, nasty, empty, tables, stage):
         assert out.columns == nasty.columns and [x.dataType for x in out.schema] == [x.dataType for x in nasty.schema]
 
 
-def test_stages_decide_as_their_operators(spark, smallest):
+def test_stages_decide_as_their_operators(spark, smallest, tmp_path):
     docs = spark.read.parquet(f"{smallest}/documents.parquet")
     labels, items = spark.read.parquet(f"{smallest}/labels.parquet"), spark.read.parquet(f"{smallest}/benchmark.parquet")
     ids = lambda df: sorted(r[0] for r in df.select("doc_id").collect())
@@ -37,6 +37,12 @@ def test_stages_decide_as_their_operators(spark, smallest):
     assert all(not (texts[i] or "").strip() for i in texts.keys() - got.keys())
     c = corpus_pipeline.drop_near_duplicates(spark, docs, smallest)
     assert ids(c) == sorted({r["component"] for r in jaccard_join.classes(docs, width=5, percent=80).collect()})
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(7, "a"), (7, text), (8, text + " x"), (None, text), (None, "a"), (9, "a"), (9, "a"), (None, "b")]
+    written = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(written)
+    stay = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(written), smallest)
+    assert sorted(map(tuple, stay.collect()), key=str) == sorted([(7, "a"), (7, text), (None, "b")], key=str)
     d = corpus_pipeline.drop_contaminated(spark, docs, smallest)
     assert ids(d) == ids(wu_manber.contamination(docs, items).where("not contaminated"))
 

@@ -1,8 +1,9 @@
 """Connected components of a table of links, by alternating large and small stars.
 
-Every round rewrites the links of a node to its least neighbour; minima are summed before the
-shuffle, so that a node with very many links is no group that one task must hold.  The rounds
-end when the links form stars around the least node of each component.
+Every round rewrites the links of a node to its least neighbour.  Minima are summed before the
+shuffle, and a node's links meet its minimum in SALTS parts, so that no task holds all links of a
+node that has very many.  The rounds end when the links form stars around the least node of each
+component.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 MAX_ROUNDS = 60
+#: Parts in which the links of one node are dealt out.
+SALTS = 8
 
 
 def _star(links: DataFrame) -> DataFrame:
-    """(u, v) -> (v, least neighbour of u) for all links, and (u, least)."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    return links.join(least, "u")
+    """(u, v, m): all links with the least neighbour of u."""
+    least = links.groupBy("u").agg(F.min("v").alias("m")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "salt"]).drop("salt")
 
 
 def _state(links: DataFrame) -> tuple:

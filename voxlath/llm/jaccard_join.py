@@ -349,15 +349,20 @@ def _search_rest(percent: int):
     """Sets outside the main class of a large group, against one block of the group."""
 
     def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by([("lo", "ascending"), ("asks", "ascending")])
         asks = np.array(table.column("asks").to_pylist(), dtype=bool)
         ids = table.column("lo").to_pylist()
         sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("shingles")]
         there = np.flatnonzero(~asks)
         if not len(there):
             return _links([], [])
-        index, pairs = Index([sets[i] for i in there]), []
-        for q in np.flatnonzero(asks):
-            pairs += [(int(q), int(there[p])) for p in index.search(sets[q], percent, np.ones(len(there), dtype=bool)).tolist()]
+        index, known, pairs = Index([sets[i] for i in there]), Classes(len(ids)), []
+        for q in np.flatnonzero(asks).tolist():
+            root = known.all()
+            for p in there[index.search(sets[q], percent, root[there] != root[q])].tolist():
+                if known.join(q, p):  # of a class only the links that make it
+                    pairs.append((q, p))
+        give_back()
         return _links(ids, pairs)
 
     return search
