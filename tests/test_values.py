@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxlath.functions import scripts
-from voxlath.operators import dataset, evaluation, lexicon, ranking, speakers
+from voxlath.operators import dataset, evaluation, lexicon, ranking, segments, speakers
 from voxlath.sources import ingest, manifests
 
 
@@ -117,3 +117,14 @@ def test_words_are_chosen_after_the_word_before(spark):
     assert got == {i: plain(t) for i, t in enumerate(texts)}
     assert got[1].startswith("घर पानी") and got[0] == "पनि"
     assert {r["id"]: r["text"] for r in typing.convert(rows.where("id = 0"), lex, two, {"pani": "X"}).collect()} == {0: "X"}
+
+
+def test_mean_of_a_clip_is_the_same_in_any_order_of_frames(spark):
+    p = [0.3147, 0.1213, 0.0, 0.22699999999999998, 0.0, 0.0, 0.0, 0.5490999999999999]  # 0.1515125 in this order, less in others
+    clips = spark.createDataFrame([(0, 1, 4, 12, 4, 12), (0, 2, 4, 6, 5, 5)], "rec long, k long, start long, end long, speech_start long, speech_end long")
+    for order in (range(8), (2, 3, 7, 4, 5, 6, 0, 1), (7, 3, 1, 0, 2, 4, 5, 6)):
+        frames = spark.createDataFrame([(0, k, 4 + t, p[t], 0.5) for k in (1, 2) for t in order], "rec long, k long, t long, p double, other double").coalesce(1)
+        got = {r["k"]: (r["mean_p"], r["max_other"]) for r in segments.segment_scores(clips.coalesce(1), frames.hint("broadcast"), ["other"]).collect()}
+        assert got == {1: (0.1515125, 0.5), 2: (None, 0.5)}
+        got = {r["k"]: r["mean_p"] for r in segments.segment_scores(clips.hint("broadcast"), frames, ["other"]).collect()}
+        assert got == {1: 0.1515125, 2: None}

@@ -123,14 +123,16 @@ def acoustic_merge(chunks: DataFrame, margin: int, max_pause: int, max_len: int,
 def segment_scores(clips: DataFrame, frames: DataFrame, signals: Sequence[str], keys: Sequence[str] = ("rec", "k")) -> DataFrame:
     """Adds the largest of each signal over a clip and the mean of p over its speech.
 
-    A clip's frames are exploded to an equi-join, so no range join is needed.
+    A clip's frames are exploded to an equi-join, so no range join is needed.  The mean adds a clip's
+    frames in their order, so that its last digits don't depend on how rows were dealt.
     """
     keys = list(keys)
     cells = clips.select(*keys, "start", "end", "speech_start", "speech_end", F.explode(F.sequence("start", F.col("end") - 1)).alias("t"))
     spoken = (F.col("t") >= F.col("speech_start")) & (F.col("t") < F.col("speech_end"))
-    return cells.join(frames, [*keys, "t"]).groupBy(*keys, "start", "end", "speech_start", "speech_end").agg(
-        *[F.max(s).alias(f"max_{s}") for s in signals], F.avg(F.when(spoken, F.col("p"))).alias("mean_p")
-    )
+    heard = F.array_sort(F.collect_list(F.when(spoken & F.col("p").isNotNull(), F.struct("t", "p"))))  # the frames of one clip
+    total = F.aggregate("__heard", F.lit(0.0), lambda acc, x: acc + x["p"])
+    out = cells.join(frames, [*keys, "t"]).groupBy(*keys, "start", "end", "speech_start", "speech_end").agg(*[F.max(s).alias(f"max_{s}") for s in signals], heard.alias("__heard"))
+    return out.withColumn("mean_p", F.when(F.size("__heard") > 0, total / F.size("__heard"))).drop("__heard")
 
 
 def whole_file(frames: DataFrame, foreign: Column, threshold: float, margin: int, pad: int, min_len: int, max_len: int) -> DataFrame:
