@@ -65,3 +65,33 @@ def test_two_changed_words_of_sixty_are_near_by_default(spark):
 @given(st.lists(st.integers(0, 3), max_size=12), st.lists(st.integers(0, 3), max_size=12), st.integers(0, 4))
 def test_near_equals_the_edit_distance(a, b, edits):
     assert line_dedup.near(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64), edits) == (distance(a, b) <= edits)
+
+
+def changed(rng, base, edits):
+    w = base.copy()
+    for _ in range(edits):
+        at, kind = int(rng.integers(0, len(w))), int(rng.integers(0, 3))
+        w = np.concatenate([w[:at], rng.integers(1, 1 << 63, int(kind < 2)).astype(np.uint64), w[at + (kind > 0) :]])
+    return w
+
+
+def test_many_changed_copies_of_a_line_are_measured_few_times(monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 1 << 63, 50).astype(np.uint64)
+    lines = [changed(rng, base, int(rng.integers(1, 6))) for _ in range(400)]
+    want = [any(line_dedup.near(y, x, 2) for y in lines[:k]) for k, x in enumerate(lines)]
+    measured, near = [], line_dedup.near
+    monkeypatch.setattr(line_dedup, "near", lambda *a: measured.append(1) or near(*a))
+    assert line_dedup.near_earlier(lines, 2).tolist() == want
+    assert len(measured) < 3 * len(lines)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 3), min_size=3, max_size=9), min_size=2, max_size=14), st.integers(0, 4), st.sampled_from([1, 7, 1 << 18]))
+def test_near_earlier_equals_all_pairs(lines, edits, pairs):
+    was, line_dedup.PAIRS = line_dedup.PAIRS, pairs
+    try:
+        got = line_dedup.near_earlier([np.array(x, dtype=np.uint64) for x in lines], edits).tolist()
+    finally:
+        line_dedup.PAIRS = was
+    assert got == [any(distance(y, x) <= edits for y in lines[:k]) for k, x in enumerate(lines)]

@@ -42,6 +42,8 @@ MIN_WORDS = 8
 EDITS = 2
 #: Lines of one part that are compared with each other in one go.
 BLOCK = 2000
+#: Pairs of lines, or of spans, that are looked at in one go.
+PAIRS = 1 << 18
 _P, _Q = 0xB5297A4D3F84D5A9, 0x68E31DA4C6D8E8F5
 _INVERSE = {b: pow(b, -1, 1 << 64) for b in (_P, _Q)}
 _EARLIEST = -(1 << 63)
@@ -193,7 +195,7 @@ def near(first: np.ndarray, second: np.ndarray, edits: int) -> bool:
 
 
 def _spans(n: np.ndarray, edits: int):
-    """Word spans of lines of n words that take part in the join, as (whose, part, length of the shorter line, first, last, with the span itself, with a word deleted).
+    """Word spans of lines of n words that take part in the join, as (whose, part, length of the shorter line, first, last, whether it is an own part, with the span itself, with a word deleted).
 
     The shorter of two near lines, cut into edits // 2 + 1 parts, has one with at most one edit.
     Lines give their own parts, and what would stand there in a line longer by up to edits words:
@@ -210,50 +212,123 @@ def _spans(n: np.ndarray, edits: int):
                     if before + after + abs(change) > edits or part == 0 and shift or part == parts - 1 and after:
                         continue
                     whose = np.flatnonzero((m > 0) & (at + shift >= 0) & (to + shift + change <= n) & (to + change >= at))
-                    yield whose, part, m[whose], at[whose] + shift, to[whose] + shift + change, change <= 0, change >= 0
-
-
-def variants(flat: np.ndarray, starts: np.ndarray, n: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key): hashed deletion variants of lines given as words flat[starts : starts + n]; near lines share one."""
-    sums, power = _sums(flat, _P), _power(_INVERSE[_P], len(flat) + 1)
-    step = power[1]
-    lines, keys = [], []
-    for whose, part, shorter, first, last, with_all, with_less in _spans(n, edits):
-        tag = mix((shorter * (edits + 1) + part).astype(np.uint64) + np.uint64(edits))
-        a, b = starts[whose] + first, starts[whose] + last
-        if with_all:
-            lines.append(whose), keys.append(mix((sums[b] - sums[a]) * power[a] + (b - a).astype(np.uint64)) ^ tag)
-        if with_less:
-            size = b - a
-            own = np.repeat(np.arange(len(whose)), size)
-            gone = a[own] + np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)  # the deleted word's place
-            rest = (sums[gone] - sums[a[own]]) + (sums[b[own]] - sums[gone + 1]) * step
-            lines.append(whose[own]), keys.append(mix(rest * power[a[own]] + (size[own] - 1).astype(np.uint64)) ^ tag[own])
-    return np.concatenate(lines), np.concatenate(keys)
+                    yield whose, part, m[whose], at[whose] + shift, to[whose] + shift + change, fewer == shift == change == 0, change <= 0, change >= 0
+
+
+class Spans:
+    """Distinct word spans of lines given as words flat[starts : starts + n], the lines that have each, and what span variants join."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, n: np.ndarray, edits: int):
+        self.flat, self.sums, self.power = flat, _sums(flat, _P), _power(_INVERSE[_P], len(flat) + 1)
+        found = []
+        for whose, part, shorter, first, last, own, with_all, with_less in _spans(n, edits):
+            a, b = starts[whose] + first, starts[whose] + last
+            tag = mix((shorter * (edits + 1) + part).astype(np.uint64) + np.uint64(edits))
+            key = mix((self.sums[b] - self.sums[a]) * self.power[a] + (b - a).astype(np.uint64)) ^ tag
+            found.append((key, whose, np.full(len(whose), not own), a, b, tag, np.full(len(whose), with_all), np.full(len(whose), with_less)))
+        key, line, other, a, b, tag, with_all, with_less = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((line, other, key))  # of a span, the lines whose own part it is come first
+        key, self.line, other = key[order], line[order], other[order]
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        self.key, self.start = key[edges], edges
+        self.size = np.diff(np.append(edges, len(key)))
+        self.own = self.size - np.add.reduceat(other.astype(np.int64), edges)
+        one = order[edges]
+        self.a, self.b, self.tag, self.with_all, self.with_less = a[one], b[one], tag[one], with_all[one], with_less[one]
+
+    def variants(self) -> tuple[np.ndarray, np.ndarray]:
+        """(span, key): spans as they are, and with each word deleted."""
+        whole, less = np.flatnonzero(self.with_all), np.flatnonzero(self.with_less)
+        a, b = self.a[less], self.b[less]
+        size = b - a
+        of = np.repeat(np.arange(len(less)), size)
+        gone = a[of] + np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)  # the deleted word's place
+        rest = (self.sums[gone] - self.sums[a[of]]) + (self.sums[b[of]] - self.sums[gone + 1]) * self.power[1]
+        short = mix(rest * self.power[a[of]] + (size[of] - 1).astype(np.uint64)) ^ self.tag[less][of]
+        return np.concatenate([whole, less[of]]), np.concatenate([self.key[whole], short])
+
+    def joined(self):
+        """Pairs of spans that share a variant and of which one is some line's own part, each once; in pieces.
+
+        Each span is joined with itself; as spans of many lines are one, what many lines share is
+        joined once and not by each word that may be deleted.
+        """
+        whole = np.flatnonzero((self.own > 0) & (self.size > 1))
+        yield whole, whole
+        span, key = self.variants()
+        order = np.lexsort((span, key))
+        span, key = span[order], key[order]
+        once = np.concatenate([[True], (np.diff(span) != 0) | (np.diff(key) != 0)])
+        span, key = span[once], key[once]
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        rank = np.arange(len(key)) - np.repeat(edges, np.diff(np.append(edges, len(key))))
+        live, back, held, count = np.flatnonzero(rank > 0), 1, [], 0
+        while len(live):
+            x, y = span[live - back], span[live]  # x < y
+            good = (self.own[x] > 0) | (self.own[y] > 0)
+            held.append(x[good] * len(self.key) + y[good])
+            count += len(held[-1])
+            back += 1
+            live = live[rank[live] >= back]
+            if count > PAIRS or not len(live):
+                codes = np.unique(np.concatenate(held))
+                yield codes // len(self.key), codes % len(self.key)
+                held, count = [], 0
+
+    def pairs(self):
+        """(line, line): all pairs of lines that have joined spans, the one or the other as its own part; in pieces of some PAIRS."""
+        for x, y in self.joined():
+            start, size = np.concatenate([self.start[x], self.start[x] + self.own[x]]), np.concatenate([self.own[x], self.size[x] - self.own[x]])
+            against, width = np.tile(self.start[y], 2), np.concatenate([self.size[y], np.where(x == y, 0, self.own[y])])
+            full = np.flatnonzero(size * width > 0)
+            start, size, against, width = start[full], size[full], against[full], width[full]
+            tall = np.maximum(1, PAIRS // width)  # lines of the first span in a piece
+            pieces = -(-size // tall)
+            of = np.repeat(np.arange(len(size)), pieces)
+            skip = (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * tall[of]
+            start, against, width, rows = start[of] + skip, against[of], width[of], np.minimum(tall[of], size[of] - skip)
+            upto = np.cumsum(rows * width)
+            i = 0
+            while i < len(of):
+                j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PAIRS, side="right")))
+                total = rows[i:j] * width[i:j]
+                piece = np.repeat(np.arange(i, j), total)
+                at = np.arange(len(piece)) - np.repeat(np.cumsum(total) - total, total)
+                yield self.line[start[piece] + at // width[piece]], self.line[against[piece] + at % width[piece]]
+                i = j
+
+
+def _odd(values: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """512 bits of each line: which of 512 classes it has an odd number of."""
+    bits = np.zeros((lines, 8), dtype=np.uint64)
+    np.bitwise_xor.at(bits, (line, (values >> np.uint64(61)).astype(np.int64)), np.uint64(1) << ((values >> np.uint64(55)) & np.uint64(63)))
+    return bits
 
 
 def near_earlier(words: list[np.ndarray], edits: int) -> np.ndarray:
-    """Which of the lines, the earliest first, are near to an earlier one: equal variants join them, the edit distance decides."""
+    """Which of the lines, the earliest first, are near to an earlier one: equal variants join them, the edit distance decides.
+
+    Before it is measured, bitmaps rule pairs out: an edit changes at most two words, and four pairs of neighbours.
+    """
     n = np.array([len(w) for w in words], dtype=np.int64)
-    found = np.zeros(len(words), dtype=bool)
-    line, key = variants(np.concatenate(words), np.cumsum(n) - n, n, edits)
-    order = np.lexsort((line, key))
-    line, key = line[order], key[order]
-    once = np.concatenate([[True], (np.diff(line) != 0) | (np.diff(key) != 0)])
-    line, key = line[once], key[once]
-    edges = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
-    shared = np.flatnonzero(np.diff(edges) > 1)
-    tried: set[tuple[int, int]] = set()
-    for i, j in zip(edges[shared].tolist(), edges[shared + 1].tolist()):
-        group = line[i:j].tolist()
-        for k in range(1, len(group)):
-            x = group[k]
-            for y in group[:k] if not found[x] else ():
-                if (x, y) not in tried:
-                    tried.add((x, y))
-                    if near(words[y], words[x], edits):
-                        found[x] = True
-                        break
+    flat, found = np.concatenate(words), np.zeros(len(words), dtype=bool)
+    line = np.repeat(np.arange(len(words)), n)
+    mixed = mix(flat)
+    single = _odd(mixed, line, len(words))
+    beside = np.flatnonzero(line[1:] == line[:-1])
+    double = _odd(mix(mixed[beside] * np.uint64(_P) + mixed[beside + 1]), line[beside], len(words))
+    few = np.bitwise_xor.reduce(single, axis=1)
+    for x, y in Spans(flat, np.cumsum(n) - n, n, edits).pairs():
+        late, early = np.maximum(x, y), np.minimum(x, y)
+        at = np.flatnonzero((late != early) & ~found[late])
+        at = at[np.bitwise_count(few[late[at]] ^ few[early[at]]) <= 2 * edits]
+        at = at[np.abs(n[late[at]] - n[early[at]]) <= edits]
+        for bits, most in ((single, 2 * edits), (double, 4 * edits)):
+            at = at[np.bitwise_count(bits[late[at]] ^ bits[early[at]]).sum(axis=1, dtype=np.int64) <= most]
+        for code in np.unique(late[at] * len(words) + early[at]).tolist():
+            k, j = divmod(code, len(words))
+            if not found[k] and near(words[j], words[k], edits):
+                found[k] = True
     return found
 
 
