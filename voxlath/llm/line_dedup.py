@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bit_set, members
-from .common import give_back, materialize, short_batches, tidy
+from .common import give_back, materialize, short_batches
 from .hashing import _powers, mix, string_buffers, text_slices, word_hashes, word_spans
 
 MIN_WORDS = 8
@@ -50,13 +50,29 @@ _INVERSE = {b: pow(b, -1, 1 << 64) for b in (_P, _Q)}
 _EARLIEST = -(1 << 63)
 
 
-@functools.lru_cache(maxsize=8)
+@functools.lru_cache(maxsize=16)
 def _table(base: int, size: int) -> np.ndarray:
     return _powers(base, size)
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    return _table(base, 1 << max(20, int(n).bit_length()))
+    return _table(base, 1 << max(16, int(n).bit_length()))
+
+
+def _release() -> None:
+    """Give back the tables of powers, as workers outlive tasks."""
+    _table.cache_clear()
+    give_back()
+
+
+def _tidy(f):
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            _release()
+
+    return run
 
 
 def _sums(hashes: np.ndarray, base: int) -> np.ndarray:
@@ -350,7 +366,7 @@ def _ordered(table: pa.Table, names: list[str]) -> tuple[np.ndarray, dict[str, n
 
 def _marked(a: np.ndarray, b: np.ndarray, found: np.ndarray) -> pa.Table:
     out = np.unique(np.stack([a[found], b[found]], axis=1), axis=0)
-    give_back()
+    _release()
     return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
 
 
@@ -403,7 +419,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     short_batches(spark)
     own = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"))
-    rows = own.mapInArrow(tidy(_scan(min_words, edits)), "a long, b long, doc long, line int, n int, bag long, keys array<long>")
+    rows = own.mapInArrow(_tidy(_scan(min_words, edits)), "a long, b long, doc long, line int, n int, bag long, keys array<long>")
     first = F.min(F.struct("doc", "line"))
     lines = rows.groupBy("a", "b").agg(first.alias("at"), F.any_value("n").alias("n"), F.any_value("bag").alias("bag"), F.any_value("keys").alias("keys"))
     lines = materialize(lines.select("a", "b", "at.doc", "at.line", "n", "bag", "keys"), "lines")
@@ -421,7 +437,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     maybe = members.groupBy(bucket).applyInArrow(_maybe(edits), "a long, b long").distinct()
     maybe = materialize(maybe, "line-candidates")
     bits = spark.sparkContext.broadcast(bit_set(maybe, "a"))
-    words = own.select("__text").mapInArrow(tidy(_words_of(bits, min_words)), "wa long, wb long, words binary").groupBy("wa", "wb").agg(F.any_value("words").alias("words"))
+    words = own.select("__text").mapInArrow(_tidy(_words_of(bits, min_words)), "wa long, wb long, words binary").groupBy("wa", "wb").agg(F.any_value("words").alias("words"))
     worded = lines.select("a", "b", "doc", "line", "n", "bag").join(maybe, ["a", "b"], "left_semi").join(words, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
     gone = dealt.join(worded, "a").groupBy(bucket).applyInArrow(_near(edits), "a long, b long").distinct()
     return lines.join(gone, ["a", "b"], "left_anti").select("doc", "line", "a")
@@ -467,7 +483,7 @@ def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(text_col).cast("string").alias("__text"), _place(docs, id_col).alias("__doc"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
     joined = rows.join(kept.hint("shuffle_hash"), F.col("__doc") == F.col("__of"), "left").select("__text", "__kept", *[f"__k{i}" for i in range(len(keep))])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[2:]), "text string, n_lines long, n_removed long"])
-    out = joined.mapInArrow(tidy(_rewrite), schema)
+    out = joined.mapInArrow(_tidy(_rewrite), schema)
     return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], F.col("text").alias("kept_text"), "n_lines", "n_removed")
 
 

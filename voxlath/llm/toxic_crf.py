@@ -306,25 +306,24 @@ def train(
 ) -> Tagger:
     """Learn from at most max_toxic and max_clean labelled rows and max_bytes of either kind, whole texts.
 
-    The rows go to one task, which learns; the driver gets ids and weights, both of a bounded
-    size, and never a text.
+    The rows go to one task, which learns; the driver gets weights, of a bounded size, and never a
+    text.  The ids are written and broadcast, since rows made of the driver's own start workers of
+    another kind, whose memory every executor keeps.
     """
-    spark = docs.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
     there = docs.select(F.col(id_col).alias("__id")).join(known, "__id")  # ids alone, so no text is shuffled
-    chosen: list[tuple] = []
-    for y, most in ((True, max_toxic), (False, max_clean)):
-        part = there.where((F.col("__y") > 0) == F.lit(y)).select("__id", F.xxhash64("__id").alias("__h")).distinct().orderBy("__h", "__id").limit(most)
-        chosen += [(r["__id"], y) for r in part.collect()]  # at most `most` ids
-    kind = docs.schema[id_col].dataType.simpleString()
-    picked = spark.createDataFrame(chosen, f"__id {kind}, toxic boolean")
+    chosen = [
+        there.where((F.col("__y") > 0) == F.lit(y)).select("__id", F.xxhash64("__id").alias("__h")).distinct().orderBy("__h", "__id").limit(most).select("__id", F.lit(y).alias("toxic"))
+        for y, most in ((True, max_toxic), (False, max_clean))
+    ]
+    picked = common.materialize(chosen[0].unionByName(chosen[1]), "labelled-ids")
     body = docs.select(F.col(id_col).alias("__key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = body.join(F.broadcast(picked), F.col("__key") == F.col("__id")).select(F.xxhash64("__key").alias("h"), "toxic", "text")
     place = Window.partitionBy("toxic").orderBy("h", "text")
     upto = F.sum(F.octet_length("text")).over(place.rowsBetween(Window.unboundedPreceding, 0))
     most = F.when(F.col("toxic"), max_toxic).otherwise(max_clean)
     rows = rows.withColumn("upto", upto).withColumn("place", F.row_number().over(place)).where((F.col("place") <= most) & (F.col("upto") <= max_bytes))
-    common.short_batches(spark)
+    common.short_batches(docs.sparkSession)
     made = rows.select("text", "toxic", "h").repartition(1).mapInArrow(common.tidy(_learner(words)), "tagger binary").collect()  # one row, the weights
     return _unpacked(made[0]["tagger"]) if made else fit([], np.zeros(0, dtype=bool))
 
