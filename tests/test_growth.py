@@ -44,3 +44,13 @@ def test_other_characters_by_themselves(spark):
     rows = typing.tokens(spark.createDataFrame([(0, " ".join(others)), (1, "\n ab \t.Da.D{a b}  c"), (2, ""), (3, None)], "id long, text string"), "id", "text").orderBy("id", "pos").collect()
     assert [(r["src"], r["plain"]) for r in rows if r["id"] == 0] == [(c, devanagari_of(c)) for c in others]
     assert [(r["src"], r["gap"], r["kind"], r["before"]) for r in rows if r["id"] > 0] == [("", "\n ", "other", None), ("ab", " \t", "word", None), (".Da.D", "", "word", "ab"), ("{a b}", "  ", "escape", None), ("c", "", "word", None)]
+
+
+def test_texts_are_split_once_for_their_pairs(spark):
+    from voxlath.operators import lexicon
+
+    docs = spark.createDataFrame([("A b, a B! a",), ("one",), ("",), (None,), ("...",), ("b a",)], "text string")
+    found = lexicon.bigrams(docs)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1  # four times before
+    assert sorted(tuple(r) for r in found.collect()) == [("a", "b", 2), ("b", "a", 3)]
+    assert sorted((r["i"], r["word"]) for r in lexicon.words(docs).collect()) == [(0, "a"), (0, "b"), (0, "one"), (1, "a"), (1, "b"), (2, "a"), (3, "b"), (4, "a")]

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import light_spelling, loose_key, phonetic_key, typing_distance
 from .ranking import placed
 
 
+def _parts(text: str) -> Column:
+    return F.array_remove(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), "")
+
+
 def words(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(keep, i, word): lower-case words of letters and digits in order."""
-    parts = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return docs.select(*keep, F.posexplode(parts).alias("i", "word"))
+    return docs.select(*keep, F.posexplode(_parts(text)).alias("i", "word"))
 
 
 def counts(tokens: DataFrame, least: int = 1) -> DataFrame:
@@ -52,9 +55,9 @@ def write_bigrams(encoded: DataFrame, path: str) -> None:
 
 def bigrams(docs: DataFrame, text: str = "text") -> DataFrame:
     """(first, second, n): pairs of neighbouring words, paired inside the row."""
-    w = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    pairs = F.explode(F.arrays_zip(F.slice(w, 1, F.greatest(F.lit(0), F.size(w) - 1)).alias("a"), F.slice(w, 2, F.greatest(F.lit(0), F.size(w) - 1)).alias("b")))
-    return docs.select(pairs.alias("p")).groupBy(F.col("p.a").alias("first"), F.col("p.b").alias("second")).agg(F.count("*").alias("n"))
+    w, n = docs.select(_parts(text).alias("w")), F.greatest(F.lit(0), F.size("w") - 1)  # a column of its own: inside the pairs, or in a filter, the text would be split anew
+    pairs = w.select(F.explode(F.arrays_zip(F.slice("w", 1, n).alias("a"), F.slice("w", 2, n).alias("b"))).alias("p"))
+    return pairs.groupBy(F.col("p.a").alias("first"), F.col("p.b").alias("second")).agg(F.count("*").alias("n"))
 
 
 def encode_bigrams(pairs: DataFrame, lexicon: DataFrame) -> DataFrame:
