@@ -54,3 +54,40 @@ def test_texts_are_split_once_for_their_pairs(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1  # four times before
     assert sorted(tuple(r) for r in found.collect()) == [("a", "b", 2), ("b", "a", 3)]
     assert sorted((r["i"], r["word"]) for r in lexicon.words(docs).collect()) == [(0, "a"), (0, "b"), (0, "one"), (1, "a"), (1, "b"), (2, "a"), (3, "b"), (4, "a")]
+
+
+def test_words_are_keyed_before_they_are_joined(spark):
+    from voxlath.operators import lexicon
+
+    words = spark.createDataFrame([("paani", 5), ("pani", 3), ("phani", 1), ("fani", 2), ("pan", 9), ("pna", 1), ("pin", 1)], "word string, n long")
+    found = lexicon.candidates(words.select(F.col("word").alias("typed")), words, 2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and plan.count("Join") == 4  # keys stand in a table; pairs are not joined with each other
+    groups = [{"paani", "pani"}, {"phani", "fani"}, {"pan", "pna"}, {"pin"}]  # of one key, one key, and one loose key of two
+    want = {(t, w) for g in groups for t in g for w in g}
+    assert sorted((r["typed"], r["word"]) for r in found.collect()) == sorted(want)
+
+
+def test_costs_of_words_of_any_length(spark):
+    import numpy as np
+
+    from voxlath.functions import text as tx
+
+    def plain(a, b):
+        row = [0.0]
+        for c in b:
+            row.append(row[-1] + (0.5 if c == "a" else 1.0))
+        for x in a:
+            new = [row[0] + 5.0]
+            for j, y in enumerate(b):
+                new.append(min(row[j + 1] + 5.0, new[j] + (0.5 if y == "a" else 1.0), row[j] + (0.0 if x == y else 3.0)))
+            row = new
+        return row[-1]
+
+    rng = np.random.default_rng(3)
+    pairs = [tuple("".join(rng.choice(list("abcé")) for _ in range(rng.integers(0, 20))) for _ in range(2)) for _ in range(200)]
+    want = [plain(a, b) for a, b in pairs]
+    assert tx.typing_costs([a for a, _ in pairs], [b for _, b in pairs]).tolist() == want
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)] + [(200, None, "a")], "i long, a string, b string").coalesce(1)
+    got = rows.select("i", tx.typing_distance(F.col("a"), F.col("b")).alias("d")).orderBy("i").collect()
+    assert [r["d"] for r in got[:200]] == want and (got[200]["d"] is None or np.isnan(got[200]["d"]))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import light_spelling, loose_key, phonetic_key, typing_distance
+from ..sources.staging import staged
 from .ranking import placed
 
 
@@ -95,11 +96,11 @@ def keyed(lexicon: DataFrame) -> DataFrame:
 
 def candidates(typed: DataFrame, lexicon: DataFrame, few: int = 3) -> DataFrame:
     """(typed, word, n): words with the typed key; where these are fewer than few, also those with the loose key."""
-    own, have = keyed(typed.select(F.col("typed").alias("word"), F.col("typed"))), keyed(lexicon)
-    exact = own.select("typed", "key").join(have.select("key", "word", "n"), "key").select("typed", "word", "n")
-    enough = exact.groupBy("typed").agg(F.count("*").alias("c")).where(F.col("c") >= few)
-    loose = own.join(enough, "typed", "left_anti").select("typed", "loose").join(have.select("loose", "word", "n"), "loose").select("typed", "word", "n")
-    return exact.unionByName(loose.join(exact, ["typed", "word"], "left_anti"))
+    own, have = staged(keyed(typed.select(F.col("typed").alias("word"), F.col("typed"))).select("typed", "key", "loose"), "typed"), staged(keyed(lexicon).select("word", "n", "key", "loose"), "keyed")
+    enough = have.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= few).select("key")
+    exact = own.join(enough, "key", "left_semi").select("typed", "key").join(have.select("key", "word", "n"), "key").select("typed", "word", "n")
+    loose = own.join(enough, "key", "left_anti").select("typed", "loose").join(have.select("loose", "word", "n"), "loose").select("typed", "word", "n")  # the same key has the same loose one
+    return exact.unionByName(loose)
 
 
 def ranked(found: DataFrame, total: float, penalty: float = 1.0, best: int = 8) -> DataFrame:
