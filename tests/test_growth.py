@@ -115,3 +115,16 @@ def test_a_weight_is_one_look_at_the_text(spark, tmp_path):
     want = con.sql(f"SELECT * FROM ({__spark_entry__.oracle_sql()['duration_estimate']}) WHERE weight IS NOT NULL AND doc_id <> 1 ORDER BY 1").fetchall()
     assert [tuple(r) for r in said if r["doc_id"] in (0, 3, 4)] == want
     assert tx.speaking_weights([]).shape == (0,)
+
+
+def test_chunk_lengths_are_as_in_sql(spark, tmp_path):
+    import __spark_entry__
+
+    texts = [SAID, SAID * 500, "a" * 600, "؝" * 900 + "a" * 700, None]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    out = __spark_entry__.queries()["chunk_plans"](spark, str(tmp_path))
+    assert "regexp" not in out._jdf.queryExecution().executedPlan().toString()
+    duckdb = __import__("pytest").importorskip("duckdb")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == con.sql(f"SELECT * FROM ({__spark_entry__.oracle_sql()['chunk_plans']}) ORDER BY 1").fetchall()
